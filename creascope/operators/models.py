@@ -13,7 +13,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame, functions as F
 
 from creascope.functions.cleaning import clip
-from creascope.functions.columns import align_columns, feature_sets
+from creascope.functions.columns import CATEGORICAL_FEATURES, align_columns, feature_sets
 from creascope.operators.features import (
     apply_encoders, fill_numbers, fit_encoders, median_fills,
 )
@@ -161,9 +161,15 @@ def benchmark(
     """Baseline, tabular, vision and combined model on the same folds.
 
     Returns one summary row per model (with an ``error`` text and no metrics for a model that
-    could not be run) and the mean feature importances.
+    could not be run) and the mean feature importances. For ``fit_scope="train"`` pass the
+    linked rows with image columns, not yet encoded or filled.
     """
     spark = feature_df.sparkSession
+    if fit_scope == "train":
+        uncoded = [name for name in CATEGORICAL_FEATURES
+                   if name in feature_df.columns and f"{name}_enc" not in feature_df.columns]
+        feature_df = feature_df.withColumns(
+            {f"{name}_enc": F.lit(None).cast("int") for name in uncoded})
     sets = feature_sets(feature_df)
     sizes = {"baseline": 1} | {name: len(features) for name, features in sets.items()}
     models = spark.createDataFrame(
