@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from creascope.functions import pixels as px
 from creascope.functions.columns import PCA_PREFIX
+from creascope.session import stash
 
 MEASURES = list(px.UNREADABLE)
 MEASURE_SCHEMA = ", ".join(["origin string", *(f"{name} double" for name in MEASURES)])
@@ -190,7 +191,8 @@ def vision_table(
     table = identity.join(measures, "filepath", "left").na.fill(px.UNREADABLE)
     if make_predict_fn is None:
         return table.withColumns({f"{PCA_PREFIX}{i}": F.lit(0.0) for i in range(k)}).drop("filepath")
-    embedded = embed_images(images, make_predict_fn, batch_size, image_size)
+    # inference is the expensive step: run it once, then fit on the stored vectors
+    embedded = stash(embed_images(images, make_predict_fn, batch_size, image_size), "embeddings")
     projected, model = pca(standardize(embedded, "embedding"), "scaled", k)
     components = widen(
         projected.select(F.col("origin").alias("filepath"), "components"), "components", model.getK())
