@@ -6,9 +6,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from creascope import schemas
 
-ZERO = F.lit(0.0)
-
-
 def _explode_object(df: DataFrame, text: str, key: str, value: str, *keep: str) -> DataFrame:
     """One row per entry of a JSON object held as text; anything but an object gives no row."""
     entries = F.from_json(F.col(text), schemas.TEXT_MAP)
@@ -38,10 +35,14 @@ def joined(items: Column, separator: str) -> Column:
     return F.coalesce(F.array_join(items, separator), F.lit(""))
 
 
+def or_zero(number: Column) -> Column:
+    return F.coalesce(number, F.lit(0.0))
+
+
 def mean_of(numbers: Column) -> Column:
     """Mean of an array with missing items counted as 0; 0 for an empty array."""
-    total = F.aggregate(numbers, ZERO, lambda acc, x: acc + F.coalesce(x, ZERO))
-    return F.when(count_of(numbers) > 0, total / F.size(numbers)).otherwise(ZERO)
+    total = F.aggregate(numbers, F.lit(0.0), lambda acc, x: acc + or_zero(x))
+    return F.when(count_of(numbers) > 0, total / F.size(numbers)).otherwise(0.0)
 
 
 def color_entry(text: Column) -> Column:
@@ -67,11 +68,11 @@ def flatten_design(docs: DataFrame, doc: str = "doc") -> DataFrame:
     })
 
     def channel(name: str) -> Column:
-        return F.coalesce(F.col(f"dominant.{name}") / 255, ZERO)
+        return or_zero(F.col(f"dominant.{name}") / 255)
 
     red, green, blue = channel("red"), channel("green"), channel("blue")
-    width = F.coalesce(F.col("record.adunit_sizes.size_x"), ZERO)
-    height = F.coalesce(F.col("record.adunit_sizes.size_y"), ZERO)
+    width = or_zero(F.col("record.adunit_sizes.size_x"))
+    height = or_zero(F.col("record.adunit_sizes.size_y"))
     labels, texts = "record.labels", "record.text"
     lengths = F.map_values(F.col("record.videos_data.videos_length"))
     return parsed.select(
@@ -86,17 +87,17 @@ def flatten_design(docs: DataFrame, doc: str = "doc") -> DataFrame:
         red.alias("dominant_color_r"),
         green.alias("dominant_color_g"),
         blue.alias("dominant_color_b"),
-        F.coalesce("dominant.proportion", ZERO).alias("dominant_color_proportion"),
+        or_zero(F.col("dominant.proportion")).alias("dominant_color_proportion"),
         mean_of(F.col("entries.saturation")).alias("color_saturation_mean"),
         mean_of(F.col("entries.luminosity")).alias("color_luminosity_mean"),
         count_of(F.col("palette")).alias("color_diversity"),
         ((red + green + blue) / 3).alias("brightness"),
         "has_video",
-        F.when(F.col("has_video") != 0, mean_of(lengths)).otherwise(ZERO).alias("video_length_seconds"),
+        F.when(F.col("has_video") != 0, mean_of(lengths)).otherwise(0.0).alias("video_length_seconds"),
         F.coalesce("record.direction.direction", F.lit("no direction")).alias("interaction_direction"),
         width.alias("adunit_width"),
         height.alias("adunit_height"),
-        F.when(height > 0, width / height).otherwise(ZERO).alias("aspect_ratio"),
+        F.when(height > 0, width / height).otherwise(0.0).alias("aspect_ratio"),
     )
 
 

@@ -149,11 +149,12 @@ def standardize(df: DataFrame, column: str, output: str = "scaled") -> DataFrame
         # the library's variance is the sample one
         F.transform(vector_to_array("s.variance"), lambda v: F.sqrt(v * (n - 1) / n)).alias("std"),
     )).scalar()
-    centred = F.zip_with(
-        F.col(column), one_row.getField("mean"), lambda x, m: x.cast("double") - m)
-    scaled = F.zip_with(
-        centred, one_row.getField("std"), lambda x, s: F.when(s > 0, x / s).otherwise(0.0))
-    return df.withColumn(output, scaled)
+    with_stats = df.withColumn("_stats", one_row)
+    pairs = F.arrays_zip(
+        F.col(column).alias("x"), F.col("_stats.mean").alias("mean"), F.col("_stats.std").alias("std"))
+    scaled = F.transform(pairs, lambda p: F.when(
+        p["std"] > 0, (p["x"].cast("double") - p["mean"]) / p["std"]).otherwise(0.0))
+    return with_stats.withColumn(output, scaled).drop("_stats")
 
 
 def pca(df: DataFrame, column: str, k: int = 32, output: str = "components") -> tuple[DataFrame, PCAModel]:
