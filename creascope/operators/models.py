@@ -46,17 +46,18 @@ def fit_trees(df: DataFrame, features: Sequence[str], target: str, **settings) -
 
 
 def fit_ridge(df: DataFrame, features: Sequence[str], target: str, alpha: float = 1.0) -> PipelineModel:
-    """Ridge regression on standardised features.
+    """Ridge regression on standardised features: squared error + ``alpha`` * squared weights.
 
-    The solver minimises half the *mean* squared error, hence ``alpha / n``. The scaler
-    divides by the sample deviation; the factor ``(n - 1) / n`` makes the penalty the one of
-    features scaled by the population deviation.
+    The solver minimises half the mean squared error and divides ``regParam`` by the deviation
+    of the target, hence ``alpha / n`` times that deviation. The scaler divides by the sample
+    deviation; ``(n - 1) / n`` makes the penalty the one of features scaled by the population
+    deviation.
     """
-    n = df.count()
+    n, deviation = df.agg(F.count(target), F.stddev_pop(target)).first()
     scaler = StandardScaler(withMean=True, withStd=True, inputCol="features", outputCol="scaled")
     ridge = LinearRegression(
-        featuresCol="scaled", labelCol=target, elasticNetParam=0.0, standardization=False,
-        regParam=alpha * (n - 1) / (n * n))
+        featuresCol="scaled", labelCol=target, solver="normal", elasticNetParam=0.0,
+        standardization=False, regParam=alpha * (n - 1) / (n * n) * deviation)
     return Pipeline(stages=[_assembler(features), scaler, ridge]).fit(df)
 
 
