@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 
 # Luma weights (BT.709 for brightness; BT.601 in 1/65536 for gray levels).
@@ -47,8 +49,12 @@ def _triangle(x: np.ndarray) -> np.ndarray:
 FILTERS = {"bicubic": (_bicubic, 2.0), "bilinear": (_triangle, 1.0)}
 
 
+@lru_cache(maxsize=64)
 def _resize_weights(size_in: int, size_out: int, method: str) -> np.ndarray:
-    """(size_out, size_in) weights of an antialiased filter, in 1/2**22 steps."""
+    """(size_out, size_in) weights of an antialiased filter, in 1/2**22 steps.
+
+    Held as floats for a fast product; the sums stay below 2**53 and are therefore exact.
+    """
     kernel, support = FILTERS[method]
     ratio = size_in / size_out
     stretch = max(ratio, 1.0)
@@ -60,17 +66,17 @@ def _resize_weights(size_in: int, size_out: int, method: str) -> np.ndarray:
     weights = np.where(inside, kernel((taps + 0.5 - centers[:, None]) / stretch), 0.0)
     weights /= weights.sum(axis=1, keepdims=True)
     scaled = weights * (1 << 22)
-    return np.trunc(scaled + np.copysign(0.5, scaled)).astype(np.int64)
+    return np.trunc(scaled + np.copysign(0.5, scaled))
 
 
 def resize(rgb: np.ndarray, width: int, height: int, method: str) -> np.ndarray:
     """Resize with 8-bit rounding after the horizontal and after the vertical pass."""
-    pixels = rgb.astype(np.int64)
+    pixels = rgb.astype(np.float64)
     for axis, size in ((1, width), (0, height)):
         if pixels.shape[axis] != size:
             weights = _resize_weights(pixels.shape[axis], size, method)
             summed = np.moveaxis(np.tensordot(weights, pixels, axes=(1, axis)), 0, axis)
-            pixels = np.clip((summed + (1 << 21)) >> 22, 0, 255)
+            pixels = np.clip(np.floor((summed + (1 << 21)) / (1 << 22)), 0, 255)
     return pixels.astype(np.uint8)
 
 
@@ -94,7 +100,7 @@ def image_measures(rgb: np.ndarray) -> dict[str, float]:
 
     small = resize(rgb, THUMBNAIL, THUMBNAIL, "bicubic").astype(int)
     level = np.minimum(small * COLOR_LEVELS // 255, COLOR_LEVELS - 1)
-    buckets = np.unique(level.reshape(-1, 3), axis=0)
+    buckets = np.unique(level @ np.array([COLOR_LEVELS**2, COLOR_LEVELS, 1]))
     return {
         "aspect_ratio": width / height if height else 1.0,
         "image_width": float(width),

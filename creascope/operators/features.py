@@ -39,6 +39,9 @@ def apply_encoders(
     next free code. ``unseen="zero"`` uses 0 instead of the next free code, ``unseen=None``
     states that every value is in the dictionary. A column the frame lacks is added as the
     text ``unknown`` without a code; a column without a dictionary gets code 0.
+
+    Pass a stored dictionary: its size is then known before the join is planned, so a small
+    one is broadcast and the rows are not shuffled by a possibly very frequent category.
     """
     for name in columns:
         if name not in df.columns:
@@ -63,14 +66,15 @@ def apply_encoders(
 
 
 def column_medians(
-    df: DataFrame, columns: Sequence[str], approx: bool = False, accuracy: int = 10_000
+    df: DataFrame, columns: Sequence[str], approx: bool = False,
+    accuracy: int = 10_000, buckets: int = 1_000,
 ) -> DataFrame:
     """Median per numeric column as (feature, median); columns without a value are absent.
 
-    Exact in two scans and without holding a column's values in one task: an approximate
-    quantile with a guaranteed rank error brackets the median, then only values inside the
-    bracket are counted one by one while everything outside falls into two counters. Per
-    column the final ranking sees about 4 / ``accuracy`` of the rows.
+    Exact, in two scans and without gathering a column in one task. An approximate quantile
+    with a guaranteed rank error brackets the median. Values inside the bracket are counted
+    per value, everything outside falls into two counters. Bucket totals then tell which
+    slice of the bracket holds the middle ranks, and only that slice is put in order.
     """
     numbers = df.select([F.col(name).cast("double").alias(name) for name in columns])
     long = numbers.unpivot([], list(columns), "feature", "value").filter(
@@ -80,30 +84,45 @@ def column_medians(
         return by_feature.agg(F.percentile_approx("value", 0.5, accuracy).alias("median"))
 
     margin = 2.0 / accuracy
-    bounds = by_feature.agg(
-        F.percentile_approx("value", [0.5 - margin, 0.5 + margin], accuracy).alias("bracket"),
+    bracket = by_feature.agg(
+        F.percentile_approx("value", [0.5 - margin, 0.5 + margin], accuracy).alias("b"),
         F.count("*").alias("n"),
+    ).select("feature", "n", F.col("b")[0].alias("low"), F.col("b")[1].alias("high"))
+    value, low, high = F.col("value"), F.col("low"), F.col("high")
+    slot = F.floor((value - low) / (high - low) * (buckets - 1))
+    bucket = (
+        F.when(value < low, -1).when(value > high, buckets)
+        .when(low == high, 0).otherwise(slot).cast("int")
+    )
+    inside = F.col("bucket").between(0, buckets - 1)
+    # the bracket table has one row per column of the frame, whatever the data
+    counted = (
+        long.join(F.broadcast(bracket), "feature").withColumn("bucket", bucket)
+        .groupBy("feature", "n", "bucket", F.when(inside, value).alias("value"))
+        .agg(F.count("*").alias("m"))
     )
-    # one row per column of the frame: small whatever the data
-    value, bracket = F.col("value"), F.col("bracket")
-    zoned = long.join(F.broadcast(bounds), "feature").withColumn(
-        "zone", F.when(value < bracket[0], 0).when(value > bracket[1], 2).otherwise(1))
-    counted = zoned.groupBy(
-        "feature", "n", "zone", F.when(F.col("zone") == 1, value).alias("value")
-    ).agg(F.count("*").alias("m"))
-    upto = F.sum("m").over(
-        Window.partitionBy("feature").orderBy("zone", "value")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = counted.withColumn("upto", upto)
-
-    def at_rank(position):
-        holds = (F.col("upto") >= position) & (F.col("upto") - F.col("m") < position)
-        return F.max(F.when(holds, F.col("value")))
-
-    lower = F.floor((F.col("n") + 1) / 2)
-    upper = F.floor(F.col("n") / 2) + 1
-    return ranked.groupBy("feature").agg(
-        ((at_rank(lower) + at_rank(upper)) / 2).alias("median"))
+
+    def running(total: str, *order: str):
+        window = Window.partitionBy("feature", *order[:-1]).orderBy(order[-1])
+        return F.sum(total).over(window.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+
+    lower, upper = F.floor((F.col("n") + 1) / 2), F.floor(F.col("n") / 2) + 1
+
+    def holds(rank, before, upto):
+        return (before < rank) & (upto >= rank)
+
+    totals = counted.groupBy("feature", "n", "bucket").agg(F.sum("m").alias("t"))
+    totals = totals.withColumn("end", running("t", "bucket"))
+    start, end = F.col("end") - F.col("t"), F.col("end")
+    middle = totals.filter(holds(lower, start, end) | holds(upper, start, end)).select(
+        "feature", "bucket", start.alias("start"))
+    # at most two buckets per column
+    ranked = counted.join(F.broadcast(middle), ["feature", "bucket"]).withColumn(
+        "upto", F.col("start") + running("m", "bucket", "value"))
+    before, upto = F.col("upto") - F.col("m"), F.col("upto")
+    return ranked.groupBy("feature").agg(((
+        F.max(F.when(holds(lower, before, upto), value))
+        + F.max(F.when(holds(upper, before, upto), value))) / 2).alias("median"))
 
 
 def median_fills(df: DataFrame, columns: Sequence[str], approx: bool = False) -> dict[str, float]:

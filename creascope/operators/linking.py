@@ -73,6 +73,15 @@ def campaigns(briefing: DataFrame, tie: Sequence[str] = ()) -> DataFrame:
     return keep_present(clean_briefing(known, tie), columns)
 
 
+def creative_keys(inventory: DataFrame) -> DataFrame:
+    """Distinct game keys that name a creative, with their parts and image file."""
+    keys = inventory.filter(F.contains("game_key", F.lit("/"))).select("game_key").distinct()
+    slug, request_id = split_game_key(F.col("game_key"))
+    parts = keys.withColumns({"creative_slug": slug, "creative_request_id": request_id})
+    return parts.withColumn(
+        "image_filename", image_filename(F.col("creative_slug"), F.col("creative_request_id")))
+
+
 def creatives(
     inventory: DataFrame,
     vision: DataFrame,
@@ -80,13 +89,9 @@ def creatives(
     vision_order: Sequence[str] = ("filename",),
 ) -> DataFrame:
     """Creative dimension: every key with a slash, image measures where an image is known."""
-    keys = inventory.filter(F.contains("game_key", F.lit("/"))).select("game_key").distinct()
-    slug, request_id = split_game_key(F.col("game_key"))
-    keys = keys.withColumns({"creative_slug": slug, "creative_request_id": request_id}).withColumn(
-        "image_filename", image_filename(F.col("creative_slug"), F.col("creative_request_id")))
     images = first_per_key(vision, ["filename"], [F.asc(name) for name in vision_order]).select(
         F.col("filename").alias("image_filename"), *CREATIVE_MEASURES, *CREATIVE_FLAGS)
-    joined = keys.join(images, "image_filename", "left")
+    joined = creative_keys(inventory).join(images, "image_filename", "left")
     if design is not None:
         videos = design.groupBy(F.col("request_id").alias("creative_request_id")).agg(
             F.max("has_video").alias("has_video"))

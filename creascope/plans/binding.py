@@ -168,7 +168,7 @@ class Domain:
             "vec_id / 10 as file_size_kb", *components)
 
     @cached_property
-    def pixels(self) -> DataFrame:
+    def pixel_arrays(self) -> DataFrame:
         """21 pixels per image, from consecutive triples of its vector."""
         def channel(offset: int) -> str:
             unit = f"least(1D, greatest(0D, (e[3 * p + {offset}] + 0.6D) / 1.2D))"
@@ -176,16 +176,17 @@ class Domain:
 
         pixel = f"struct(p, {channel(0)} as r, {channel(1)} as g, {channel(2)} as b)"
         return self.images_raw.selectExpr(
-            "vec_id", f"explode(transform(sequence(0, {N_PIXELS - 1}), p -> {pixel})) as px",
-        ).selectExpr("vec_id", "px.p as p", "px.r as r", "px.g as g", "px.b as b")
+            "vec_id", f"transform(sequence(0, {N_PIXELS - 1}), p -> {pixel}) as px")
+
+    @cached_property
+    def pixels(self) -> DataFrame:
+        return self.pixel_arrays.selectExpr("vec_id", "inline(px)")
 
     @cached_property
     def images(self) -> DataFrame:
         """The same pixels as 7x3 images in the layout of Spark's image source."""
         pixel = "concat(lpad(hex(x.b), 2, '0'), lpad(hex(x.g), 2, '0'), lpad(hex(x.r), 2, '0'))"
-        per_image = self.pixels.groupBy("vec_id").agg(
-            F.array_sort(F.collect_list(F.struct("p", "r", "g", "b"))).alias("px"))
-        return per_image.selectExpr(f"""named_struct(
+        return self.pixel_arrays.selectExpr(f"""named_struct(
             'origin', cast(vec_id as string),
             'height', if(vec_id % 50 = 7, -1, 3), 'width', if(vec_id % 50 = 7, -1, 7),
             'nChannels', 3, 'mode', 16,
@@ -197,7 +198,7 @@ class Domain:
 
     @cached_property
     def metrics(self) -> DataFrame:
-        return kpi.creative_metrics(self.inventory, self.creatives)
+        return kpi.creative_metrics(self.inventory, linking.creative_keys(self.inventory))
 
     @cached_property
     def kpis(self) -> DataFrame:

@@ -13,6 +13,7 @@ from creascope.operators import (
     design, features, folds, kpi, linking, metrics, models, reports, vision,
 )
 from creascope.plans.binding import Domain
+from creascope.session import stash
 from creascope.sinks.tables import run_importances, run_metrics, table_counts
 from creascope.sources import files
 
@@ -411,7 +412,7 @@ def label_encoding(d):
 def document_encoding(d):
     """Language and source codes of every document."""
     documents = d.table("documents").select("doc_id", "lang", "source")
-    dictionary = features.fit_encoders(documents, ["lang", "source"])
+    dictionary = stash(features.fit_encoders(documents, ["lang", "source"]), "encoders")
     return features.apply_encoders(documents, dictionary, ["lang", "source"], unseen=None)
 
 
@@ -420,7 +421,7 @@ def unseen_encoding(d):
     """Codes learnt from labelled English documents, applied to all documents."""
     documents = d.table("documents").select("doc_id", "lang", "source")
     known = d.labelled.filter("lang = 'en' and toxic = 0")
-    dictionary = features.fit_encoders(known, ["lang", "source"])
+    dictionary = stash(features.fit_encoders(known, ["lang", "source"]), "encoders")
     return features.apply_encoders(documents, dictionary, ["lang", "source"])
 
 
