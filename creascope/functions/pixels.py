@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 
 # Luma weights (BT.709 for brightness; BT.601 in 1/65536 for gray levels).
@@ -49,7 +47,6 @@ def _triangle(x: np.ndarray) -> np.ndarray:
 FILTERS = {"bicubic": (_bicubic, 2.0), "bilinear": (_triangle, 1.0)}
 
 
-@lru_cache(maxsize=64)
 def _resize_weights(size_in: int, size_out: int, method: str) -> np.ndarray:
     """(size_out, size_in) weights of an antialiased filter, in 1/2**22 steps.
 

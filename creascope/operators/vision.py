@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml.feature import PCA, PCAModel
 from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -15,6 +17,10 @@ from creascope.functions import pixels as px
 from creascope.functions.columns import PCA_PREFIX
 from creascope.session import stash
 
+# The Python workers need not have this package installed: its functions travel with the task.
+for module in (px, sys.modules[__name__]):
+    cloudpickle.register_pickle_by_value(module)
+
 MEASURES = list(px.UNREADABLE)
 MEASURE_SCHEMA = ", ".join(["origin string", *(f"{name} double" for name in MEASURES)])
 

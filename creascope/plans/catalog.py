@@ -479,15 +479,18 @@ def embedding_components(d):
     return vision.widen(projected.select("vec_id", "components"), "components", 32)
 
 
-def _channel_means():
+def _channel_model():
     """A stand-in for an image network: mean and spread per channel."""
-    return lambda batch: np.concatenate([batch.mean(axis=(2, 3)), batch.std(axis=(2, 3))], axis=1)
+    def load():
+        return lambda batch: np.concatenate([batch.mean(axis=(2, 3)), batch.std(axis=(2, 3))], axis=1)
+
+    return load
 
 
 @query
 def image_embeddings(d):
     """Batch inference over all images with a caller's model."""
-    embedded = vision.embed_images(d.images, _channel_means, image_size=32)
+    embedded = vision.embed_images(d.images, _channel_model(), image_size=32)
     return embedded.select("origin", F.posexplode(F.col("embedding").cast("array<double>")).alias("dim", "value"))
 
 
@@ -498,7 +501,7 @@ def image_table(d):
         F.col("image.origin").alias("filepath"), F.col("image.origin").alias("filename"),
         F.lit("adunit").alias("slug"), F.lit(None).cast("string").alias("request_id"),
         F.lit("unknown").alias("placement_type"), F.lit(0.0).alias("file_size_kb"))
-    return vision.vision_table(registry, d.images, _channel_means, k=4, image_size=32)
+    return vision.vision_table(registry, d.images, _channel_model(), k=4, image_size=32)
 
 
 # --- models ------------------------------------------------------------------------------

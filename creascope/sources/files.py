@@ -112,9 +112,9 @@ def scan_assets(spark: SparkSession, folder: str, glob: str = "*.png") -> DataFr
     return describe_assets(files.select(F.col("path").alias("filepath"), "length"))
 
 
-def read_images(spark: SparkSession, folder: str) -> DataFrame:
+def read_images(spark: SparkSession, folder: str, glob: str = "*.png") -> DataFrame:
     """Decoded images; unreadable files are kept with a width of -1."""
-    return spark.read.format("image").load(folder)
+    return spark.read.format("image").option("pathGlobFilter", glob).load(folder)
 
 
 def read_benchmark(spark: SparkSession, path) -> tuple[DataFrame, DataFrame]:
