@@ -11,11 +11,10 @@ MISSING_TEXT = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
-# Accepted date layouts, day first.
+# Accepted date layouts, day first; brackets mark optional parts.
 DAY_FIRST_FORMATS = (
-    "d/M/yyyy", "d-M-yyyy", "d.M.yyyy",
-    "d/M/yyyy H:mm", "d/M/yyyy H:mm:ss", "d-M-yyyy H:mm:ss",
-    "yyyy-M-d", "yyyy-M-d H:mm:ss", "yyyy/M/d",
+    "d/M/yyyy[ H:mm[:ss]]", "d-M-yyyy[ H:mm[:ss]]", "d.M.yyyy[ H:mm[:ss]]",
+    "yyyy-M-d[ H:mm[:ss]]", "yyyy/M/d[ H:mm[:ss]]",
 )
 # Placement marker in the slug -> placement type, in order of precedence.
 PLACEMENTS = {"-mob": "mobile", "-mpu": "mpu", "-tap": "tap", "-bio": "bio"}

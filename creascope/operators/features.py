@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from creascope.functions.cleaning import category_text, number_or_null
+from creascope.functions.cleaning import category_text
 from creascope.functions.columns import (
     CATEGORICAL_FEATURES, select_tabular_features, select_vision_features,
 )
@@ -76,7 +76,7 @@ def column_medians(
     per value, everything outside falls into two counters. Bucket totals then tell which
     slice of the bracket holds the middle ranks, and only that slice is put in order.
     """
-    numbers = df.select([F.col(name).cast("double").alias(name) for name in columns])
+    numbers = df.selectExpr([f"try_cast(`{name}` as double) as `{name}`" for name in columns])
     long = numbers.unpivot([], list(columns), "feature", "value").filter(
         F.col("value").isNotNull() & ~F.isnan("value"))
     by_feature = long.groupBy("feature")
@@ -90,10 +90,11 @@ def column_medians(
     ).select("feature", "n", F.col("b")[0].alias("low"), F.col("b")[1].alias("high"))
     value, low, high = F.col("value"), F.col("low"), F.col("high")
     slot = F.floor((value - low) / (high - low) * (buckets - 1))
-    bucket = (
+    # never NULL, and declared so: the two uses of the counts below then have equal plans and
+    # Spark runs them once
+    bucket = F.coalesce(
         F.when(value < low, -1).when(value > high, buckets)
-        .when(low == high, 0).otherwise(slot).cast("int")
-    )
+        .when(low == high, 0).otherwise(slot).cast("int"), F.lit(-1))
     inside = F.col("bucket").between(0, buckets - 1)
     # the bracket table has one row per column of the frame, whatever the data
     counted = (
@@ -132,9 +133,10 @@ def median_fills(df: DataFrame, columns: Sequence[str], approx: bool = False) ->
 
 
 def fill_numbers(df: DataFrame, columns: Sequence[str], fills: Mapping[str, float]) -> DataFrame:
+    """Columns as doubles; text that is no number, NaN and NULL become the fill value."""
+    filled = "coalesce(nullif(try_cast(`{0}` as double), double('NaN')), {1!r}D)"
     return df.withColumns({
-        name: F.coalesce(number_or_null(F.col(name)), F.lit(float(fills.get(name, 0.0))))
-        for name in columns
+        name: F.expr(filled.format(name, float(fills.get(name, 0.0)))) for name in columns
     })
 
 
@@ -160,7 +162,6 @@ def feature_matrix(
     numeric = select_tabular_features(encoded) + select_vision_features(encoded)
     raw = [name for name in numeric if name in base.columns]
     if fitting:
-        readable = base.select([number_or_null(F.col(name)).alias(name) for name in raw])
-        fills = median_fills(readable, raw, approx)
+        fills = median_fills(base, raw, approx)
     fills = dict(fills or {})
     return fill_numbers(encoded, raw, fills), encoders, fills

@@ -42,10 +42,13 @@ class Domain:
 
     @cached_property
     def raw_inventory(self) -> DataFrame:
-        events = self.table("events").selectExpr(
+        # json_tuple is a generator: the text is parsed once per row, while a plain JSON
+        # expression would be repeated in every filter that is pushed down
+        events = self.table("events").select(
+            "event_id", "user_id", "event_type", "value", "ts", F.json_tuple("props", "k").alias("k"),
+        ).selectExpr(
             "event_id", "user_id", "event_type", "value", "ts",
-            "user_id div 25 as campaign_no",
-            "cast(get_json_object(props, '$.k') as bigint) as k",
+            "user_id div 25 as campaign_no", "cast(k as bigint) as k",
         ).selectExpr("*", "3 * campaign_no + k % 3 as idx")
         return events.selectExpr(
             "event_id", "value", "k",

@@ -24,13 +24,8 @@ DIGITS = 6
 
 def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     """Doubles to a fixed number of digits, without negative zero; dates without time."""
-    def shown(name: str, dtype: str):
-        column = F.col(f"`{name}`")
-        if dtype == "double":
-            return (F.round(column, digits) + 0.0).alias(name)
-        return column.cast("date").alias(name) if dtype == "timestamp" else column
-
-    return df.select([shown(name, dtype) for name, dtype in df.dtypes])
+    shown = {"double": f"round(`{{0}}`, {digits}) + 0D as `{{0}}`", "timestamp": "cast(`{0}` as date) as `{0}`"}
+    return df.selectExpr([shown.get(dtype, "`{0}`").format(name) for name, dtype in df.dtypes])
 
 
 def query(build: Callable[[Domain], DataFrame]) -> Callable[[Domain], DataFrame]:
