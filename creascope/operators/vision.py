@@ -8,9 +8,9 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.ml.feature import PCA, PCAModel
+from pyspark.ml.feature import PCA, ElementwiseProduct, PCAModel, StandardScaler
 from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
-from pyspark.ml.stat import Summarizer
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from creascope.functions import pixels as px
@@ -144,23 +144,17 @@ def embed_images(
 def standardize(df: DataFrame, column: str, output: str = "scaled") -> DataFrame:
     """Centre every dimension of an array column and divide by its population deviation.
 
-    Mean and deviation come from one pass that never unpacks the arrays into rows. A constant
-    dimension becomes 0.
+    The library's scaler uses the sample deviation; the constant factor between the two is
+    applied afterwards. A constant dimension becomes 0.
     """
-    vectors = df.select(array_to_vector(F.col(column).cast("array<double>")).alias("v"))
-    stats = vectors.agg(Summarizer.metrics("mean", "variance", "count").summary(F.col("v")).alias("s"))
-    n = F.col("s.count")
-    one_row = stats.select(F.struct(
-        vector_to_array("s.mean").alias("mean"),
-        # the library's variance is the sample one
-        F.transform(vector_to_array("s.variance"), lambda v: F.sqrt(v * (n - 1) / n)).alias("std"),
-    )).scalar()
-    with_stats = df.withColumn("_stats", one_row)
-    pairs = F.arrays_zip(
-        F.col(column).alias("x"), F.col("_stats.mean").alias("mean"), F.col("_stats.std").alias("std"))
-    scaled = F.transform(pairs, lambda p: F.when(
-        p["std"] > 0, (p["x"].cast("double") - p["mean"]) / p["std"]).otherwise(0.0))
-    return with_stats.withColumn(output, scaled).drop("_stats")
+    n = df.count()
+    vectors = df.withColumn("_vector", array_to_vector(F.col(column).cast("array<double>")))
+    scaler = StandardScaler(withMean=True, withStd=True, inputCol="_vector", outputCol="_scaled").fit(vectors)
+    factor = (n / (n - 1)) ** 0.5 if n > 1 else 1.0
+    product = ElementwiseProduct(
+        scalingVec=Vectors.dense([factor] * scaler.mean.size), inputCol="_scaled", outputCol="_product")
+    scaled = product.transform(scaler.transform(vectors))
+    return scaled.withColumn(output, vector_to_array("_product")).drop("_vector", "_scaled", "_product")
 
 
 def pca(df: DataFrame, column: str, k: int = 32, output: str = "components") -> tuple[DataFrame, PCAModel]:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from creascope.functions.columns import keep_present
 from creascope.operators import kpi, linking
-from creascope.operators.design import flatten_design
+from creascope.operators.design import flatten_design, legacy_design_table
 from creascope.operators.features import feature_matrix
 from creascope.operators.models import TARGETS, FitFn, benchmark, fit_targets, fit_trees, score
 from creascope.schemas import INVENTORY
@@ -46,6 +46,11 @@ def load_staging(
     return written
 
 
+def write_legacy_design(design_docs: DataFrame, path: str) -> int:
+    """Store the older nine-column design table."""
+    return write_table(legacy_design_table(design_docs), path)
+
+
 def build_warehouse(
     spark: SparkSession, out: str, tie: Sequence[str] = (), on_orphans: str = "quarantine",
 ) -> dict[str, int]:

@@ -55,9 +55,11 @@ def stash(df: DataFrame, name: str) -> DataFrame:
 
     Cuts the lineage before work that scans the same rows several times. The table is
     columnar, so later scans read only the columns they use, its size is known to the
-    planner, and a lost executor costs no recomputation of what came before.
+    planner, and a lost executor costs no recomputation of what came before. Tables lie below
+    the application id, so they can be removed once the application has ended.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/creascope/{uuid.uuid4().hex}/{name}"
+    application = spark.sparkContext.applicationId
+    path = f"{shared_dir(spark)}/creascope/{application}/{uuid.uuid4().hex}/{name}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

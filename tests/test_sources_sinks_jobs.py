@@ -135,6 +135,7 @@ def test_jobs_end_to_end(spark, tmp_path):
     with pytest.raises(ValueError, match="briefing"):
         jobs.build_warehouse(spark, out, tie=["submission_id"], on_orphans="fail")
 
+    assert jobs.write_legacy_design(d.design_docs, f"{out}/legacy_design") == 200
     linked = jobs.linked_table(spark, out)
     first = jobs.build_features(spark, out)
     assert first.count() == linked.count() and not first.isEmpty()
