@@ -28,7 +28,7 @@ def design_records(docs: DataFrame, doc: str = "doc") -> DataFrame:
 
 
 def count_of(items: Column) -> Column:
-    return F.coalesce(F.size(items), F.lit(0))
+    return F.when(items.isNotNull(), F.size(items)).otherwise(0)
 
 
 def joined(items: Column, separator: str) -> Column:

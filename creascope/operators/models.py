@@ -110,37 +110,40 @@ def _refit_on_train(train: DataFrame, valid: DataFrame, features: Sequence[str])
 
 
 def _cross_validate(
-    folded: DataFrame, name: str, features: Sequence[str], target: str, k: int,
+    folded: DataFrame, models: Mapping[str, Sequence[str]], target: str, k: int,
     fit: FitFn, fit_scope: str, parallelism: int,
 ) -> tuple[DataFrame, DataFrame]:
+    """Out-of-fold predictions and importances of several models, each named with its features."""
     spark = folded.sparkSession
-    keep = [c for c in folded.columns if c in set(features) or c in {target, "fold"}
-            or f"{c}_enc" in set(features)]
-    rows = folded.select(*keep)
 
-    def run(fold: int):
+    def run(task: tuple[str, int]):
+        name, fold = task
+        features = list(models[name])
+        used = {*features, *(f.removesuffix("_enc") for f in features), target, "fold"}
+        rows = folded.select([c for c in folded.columns if c in used])
         train, valid = rows.filter(F.col("fold") != fold), rows.filter(F.col("fold") == fold)
         if fit_scope == "train":
             train, valid = _refit_on_train(train, valid, features)
         else:
-            train, valid = train.na.fill(0, list(features)), valid.na.fill(0, list(features))
+            train, valid = train.na.fill(0, features), valid.na.fill(0, features)
         model = fit(train, features, target)
         predicted = model.transform(valid).select(
             F.lit(name).alias("model"), F.col("fold"),
             F.col(target).cast("double").alias("y"), "prediction")
         return predicted, [(name, fold, f, s) for f, s in importance_list(model, features)]
 
-    # the folds are independent: fitting several at once fills a large cluster
-    with ThreadPool(min(parallelism, k)) as pool:
-        results = pool.map(inheritable_thread_target(spark)(run), range(k))
+    # all fits are independent: running several at once fills a large cluster
+    tasks = [(name, fold) for name in models for fold in range(k)]
+    with ThreadPool(min(parallelism, len(tasks))) as pool:
+        results = pool.map(inheritable_thread_target(spark)(run), tasks, chunksize=1)
     predictions = reduce(DataFrame.unionByName, [predicted for predicted, _ in results])
-    rows_of_importance = [row for _, rows_ in results for row in rows_]
-    return predictions, spark.createDataFrame(rows_of_importance, IMPORTANCE_SCHEMA)
+    scores = [row for _, rows in results for row in rows]
+    return predictions, spark.createDataFrame(scores, IMPORTANCE_SCHEMA)
 
 
 def group_cv(
     df: DataFrame, features: Sequence[str], target: str, group: str, fit: FitFn = fit_trees,
-    k: int = 5, name: str = "model", fit_scope: str = "all", parallelism: int = 5,
+    k: int = 5, name: str = "model", fit_scope: str = "all", parallelism: int = 8,
 ) -> tuple[DataFrame, DataFrame]:
     """Out-of-fold predictions and per-fold importances of one model.
 
@@ -152,12 +155,12 @@ def group_cv(
     if rows < 2 * k:
         raise ValueError(f"insufficient_data: {rows} rows for {k} folds")
     folded = stash(assign_group_folds(clean, group, k), "folds")
-    return _cross_validate(folded, name, features, target, k, fit, fit_scope, parallelism)
+    return _cross_validate(folded, {name: features}, target, k, fit, fit_scope, parallelism)
 
 
 def benchmark(
     feature_df: DataFrame, target: str = TARGETS[0], group: str = "campaign_id", k: int = 5,
-    fit: FitFn = fit_trees, fit_scope: str = "all", parallelism: int = 5,
+    fit: FitFn = fit_trees, fit_scope: str = "all", parallelism: int = 8,
 ) -> tuple[DataFrame, DataFrame]:
     """Baseline, tabular, vision and combined model on the same folds.
 
@@ -184,13 +187,11 @@ def benchmark(
         predictions = spark.createDataFrame([], PREDICTION_SCHEMA)
     else:
         predictions = oof_mean(folded, target)
-        for name, features in sets.items():
-            if not features:
-                continue
-            predicted, scores = _cross_validate(
-                folded, name, features, target, k, fit, fit_scope, parallelism)
+        runnable = {name: features for name, features in sets.items() if features}
+        if runnable:
+            predicted, importances = _cross_validate(
+                folded, runnable, target, k, fit, fit_scope, parallelism)
             predictions = predictions.unionByName(predicted)
-            importances = importances.unionByName(scores)
     summary = fold_summary(regression_metrics(predictions))
     campaigns = folded.agg(F.count_distinct(group)).scalar()
     table = models.join(summary, "model", "left").withColumns({

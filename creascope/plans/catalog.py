@@ -474,6 +474,15 @@ def embedding_components(d):
     return vision.widen(projected.select("vec_id", "components"), "components", 32)
 
 
+@query
+def component_norms(d):
+    """Squared length of every embedding in all its components: a full rotation keeps it."""
+    scaled = vision.standardize(d.table("embeddings"), "embedding").select("vec_id", "scaled")
+    projected, _ = vision.pca(scaled, "scaled", 64)
+    squares = F.aggregate("components", F.lit(0.0), lambda acc, x: acc + x * x)
+    return projected.select("vec_id", squares.alias("norm"))
+
+
 def _channel_model():
     """A stand-in for an image network: mean and spread per channel."""
     def load():

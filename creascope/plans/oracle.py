@@ -382,6 +382,23 @@ RIDGE = f"""SELECT doc_id, {r6('my + (n_chars - mx) / sx * sxy / (n + 1)')} AS p
   FROM labelled, (SELECT n, mx, my, sx, (SELECT sum((l.n_chars - s.mx) / s.sx * (l.quality - s.my)) FROM labelled l) AS sxy
     FROM (SELECT count(*) AS n, avg(n_chars) AS mx, avg(quality) AS my, stddev_pop(n_chars) AS sx FROM labelled) s)"""
 
+# The same with two features, per fold: the slopes solve a 2x2 system with c = sum(z1 * z2).
+RIDGE_FOLDS = """ridge_stats AS (
+  SELECT f.fold, count(*) AS n, avg(n_chars) AS m1, stddev_pop(n_chars) AS d1, avg(toxic) AS m2,
+    stddev_pop(toxic) AS d2, avg(quality) AS my
+  FROM (SELECT DISTINCT fold FROM folds) f JOIN folds g ON g.fold <> f.fold JOIN labelled l ON l.source = g.grp
+  GROUP BY f.fold),
+ridge_sums AS (
+  SELECT s.fold, sum((n_chars - m1) / d1 * (quality - my)) AS s1, sum((toxic - m2) / d2 * (quality - my)) AS s2,
+    sum((n_chars - m1) / d1 * (toxic - m2) / d2) AS c
+  FROM ridge_stats s JOIN folds g ON g.fold <> s.fold JOIN labelled l ON l.source = g.grp GROUP BY s.fold),
+ridge_oof AS (
+  SELECT 'ridge' AS model, s.fold, CAST(quality AS DOUBLE) AS y,
+    my + (n_chars - m1) / d1 * ((s.n + 1) * s1 - c * s2) / ((s.n + 1) ** 2 - c ** 2)
+       + (toxic - m2) / d2 * ((s.n + 1) * s2 - c * s1) / ((s.n + 1) ** 2 - c ** 2) AS prediction
+  FROM ridge_stats s JOIN ridge_sums USING (fold) JOIN folds g ON g.fold = s.fold
+  JOIN labelled l ON l.source = g.grp)"""
+
 NULL_KEY_KPIS = f"""SELECT *, CASE WHEN game_key LIKE '%/%' THEN split_part(game_key, '/', 1) ELSE game_key END AS creative_slug,
     CASE WHEN game_key LIKE '%/%' THEN split_part(game_key, '/', 2) END AS creative_request_id,
     {r6(raw_rate('n_engagements'))} AS engagement_rate, {r6(raw_rate('n_clicks'))} AS click_through_rate
@@ -550,6 +567,11 @@ ORACLE: dict[str, str] = {
       FROM (SELECT vec_id, CAST(dim AS INTEGER) AS dim, CAST(embedding[dim + 1] AS DOUBLE) AS x
         FROM embeddings, range(64) AS t(dim))""",
     "ridge_predictions": sql(RIDGE),
+    "ridge_cross_validation": sql(summary_columns("ridge_oof"), SOURCE_FOLDS + ",\n" + RIDGE_FOLDS),
+    "component_norms": f"""SELECT vec_id, {r6('sum(z * z)')} AS norm FROM (
+      SELECT vec_id, (x - avg(x) OVER (PARTITION BY dim)) / stddev_pop(x) OVER (PARTITION BY dim) AS z
+      FROM (SELECT vec_id, dim, CAST(embedding[dim + 1] AS DOUBLE) AS x FROM embeddings, range(64) AS t(dim)))
+    GROUP BY vec_id""",
     "ctr_fallback": sql(f"""SELECT {EVENT_KEYS}, {r6('''coalesce(
           CASE WHEN n_clicks > 0 AND n_impressions > 0 THEN least(1.0, n_clicks / n_impressions) END,
           CASE WHEN n_impressions > 0 THEN least(1.0, n_engagements / n_impressions) END * 0.1, 0.0)''')} AS ctr
