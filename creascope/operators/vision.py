@@ -11,7 +11,7 @@ from pyspark import cloudpickle
 from pyspark.ml.feature import PCA, ElementwiseProduct, PCAModel, StandardScaler
 from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from creascope.functions import pixels as px
 from creascope.functions.columns import PCA_PREFIX
@@ -173,6 +173,12 @@ def widen(df: DataFrame, column: str, k: int, prefix: str = PCA_PREFIX) -> DataF
     }).drop(column)
 
 
+def file_name(origin: Column) -> Column:
+    """Plain file name at the end of an image origin, which is a percent-encoded URI."""
+    encoded = F.substring_index(origin, "/", -1)
+    return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
+
+
 def vision_table(
     registry: DataFrame,
     images: DataFrame,
@@ -183,18 +189,17 @@ def vision_table(
 ) -> DataFrame:
     """One row per registered image: identity, measures and ``vision_pca_*``.
 
-    ``registry`` comes from the asset scan, ``images`` from the image source; both name files
-    by full path and are joined on it. Without a model the components are all 0.0.
+    ``registry`` comes from the asset scan, ``images`` from the image source; they are joined
+    on the file name. Without a model the components are all 0.0.
     """
-    identity = registry.select(
-        "filepath", "filename", "slug", "request_id", "placement_type", "file_size_kb")
-    measures = handcrafted_features(images).withColumnRenamed("origin", "filepath")
-    table = identity.join(measures, "filepath", "left").na.fill(px.UNREADABLE)
+    identity = registry.select("filename", "slug", "request_id", "placement_type", "file_size_kb")
+    measures = handcrafted_features(images)
+    measures = measures.select(file_name(F.col("origin")).alias("filename"), *MEASURES)
+    table = identity.join(measures, "filename", "left").na.fill(px.UNREADABLE)
     if make_predict_fn is None:
-        return table.withColumns({f"{PCA_PREFIX}{i}": F.lit(0.0) for i in range(k)}).drop("filepath")
+        return table.withColumns({f"{PCA_PREFIX}{i}": F.lit(0.0) for i in range(k)})
     # inference is the expensive step: run it once, then fit on the stored vectors
     embedded = stash(embed_images(images, make_predict_fn, batch_size, image_size), "embeddings")
     projected, model = pca(standardize(embedded, "embedding"), "scaled", k)
-    components = widen(
-        projected.select(F.col("origin").alias("filepath"), "components"), "components", model.getK())
-    return table.join(components, "filepath", "left").drop("filepath")
+    files = projected.select(file_name(F.col("origin")).alias("filename"), "components")
+    return widen(table.join(files, "filename", "left"), "components", model.getK())

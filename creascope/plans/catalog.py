@@ -502,7 +502,7 @@ def image_embeddings(d):
 def image_table(d):
     """Measures and components of every image, one row per file."""
     registry = d.images.select(
-        F.col("image.origin").alias("filepath"), F.col("image.origin").alias("filename"),
+        F.col("image.origin").alias("filename"),
         F.lit("adunit").alias("slug"), F.lit(None).cast("string").alias("request_id"),
         F.lit("unknown").alias("placement_type"), F.lit(0.0).alias("file_size_kb"))
     return vision.vision_table(registry, d.images, _channel_model(), k=4, image_size=32)

@@ -33,13 +33,15 @@ IMAGES = {
     "adunit-white-tap-00000000000000000003": solid(224, 224, (255, 255, 255)),
     "adunit-tall-bio-00000000000000000004": solid(320, 480, (128, 128, 128)),
     "adunit-noise": NOISE,
+    "adunit-odd name+50%": solid(4, 4, (255, 255, 255)),
     "adunit-alpha": np.dstack([NOISE, np.full((40, 30), 7, np.uint8)]),
 }
 
 
 @pytest.fixture(scope="module")
 def folder(tmp_path_factory):
-    path = tmp_path_factory.mktemp("images")
+    path = tmp_path_factory.mktemp("images") / "Creative Assets_"
+    path.mkdir()
     for name, rgb in IMAGES.items():
         png(path / f"{name}.png", rgb)
     (path / "adunit-broken.png").write_bytes(b"not an image")
@@ -54,7 +56,7 @@ def measured(spark, folder):
 
 
 def test_all_measures_are_floats(measured):
-    assert len(measured) == 7
+    assert len(measured) == 8
     for row in measured.values():
         assert all(isinstance(row[m], float) for m in vision.MEASURES)
 
@@ -125,7 +127,7 @@ def test_resize_keeps_solids_and_identity():
 
 def test_registry(spark, folder):
     rows = {r.filename: r for r in scan_assets(spark, folder).collect()}
-    assert len(rows) == 7
+    assert len(rows) == 8
     red = rows["adunit-red-mob-00000000000000000001.png"]
     assert (red.slug, red.request_id, red.placement_type) == ("adunit-red-mob", "00000000000000000001", "mobile")
     assert rows["adunit-noise.png"].request_id is None
@@ -175,7 +177,11 @@ def test_principal_components(spark):
 def test_vision_stage_has_one_row_per_file(spark, folder, model):
     table = vision.vision_table(scan_assets(spark, folder), read_images(spark, folder), model, k=2, image_size=8)
     rows = {r.filename: r for r in table.collect()}
-    assert len(rows) == 7 and len(set(table.columns)) == len(table.columns)
+    assert len(rows) == 8 and len(set(table.columns)) == len(table.columns)
     assert rows["adunit-broken.png"].brightness_mean == 0.5
-    zeros = all(r.vision_pca_0 == 0.0 and r.vision_pca_1 == 0.0 for r in rows.values())
-    assert zeros == (model is None)
+    for name in ("adunit-white-tap-00000000000000000003.png", "adunit-odd name+50%.png"):
+        assert rows[name].brightness_mean == pytest.approx(1.0)
+    assert rows["adunit-tall-bio-00000000000000000004.png"].image_height == 480.0
+    components = np.array([[r.vision_pca_0, r.vision_pca_1] for r in rows.values()], dtype=float)
+    assert np.isfinite(components).all()
+    assert (components == 0).all() == (model is None)
