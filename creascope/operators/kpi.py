@@ -71,19 +71,32 @@ def creative_kpis(
     )
 
 
-def creative_metrics(inventory: DataFrame, creatives: DataFrame | None = None) -> DataFrame:
-    """Warehouse metrics: no minimum, unclipped rates, NULL contexts kept.
+def context_counts(inventory: DataFrame) -> DataFrame:
+    """Event counts per campaign, creative and context, NULL keys kept.
 
-    Keys unknown to ``creatives`` are left out. That check runs on the aggregated rows: a
-    group has one game key, so the result is the same and the event log is shuffled once.
+    The one reduction of the event log that the warehouse needs: metrics, creatives and
+    campaign totals all follow from this much smaller table.
     """
-    events = inventory.filter(F.col("campaign_id").isNotNull() & F.contains("game_key", F.lit("/")))
-    metrics = events.groupBy(*KEYS).agg(*event_counts())
+    return inventory.groupBy(*KEYS).agg(*event_counts())
+
+
+def metrics_from_counts(counts: DataFrame, creatives: DataFrame | None = None) -> DataFrame:
+    """Warehouse metrics: known campaign and creative, no minimum, unclipped rates."""
+    metrics = counts.filter(F.col("campaign_id").isNotNull() & F.contains("game_key", F.lit("/")))
     if creatives is not None:
         metrics = metrics.join(creatives.select("game_key"), "game_key", "left_semi")
     return metrics.select(*KEYS, *EVENT_COUNTS.values()).withColumns(_rates(clipped=False))
 
 
+def creative_metrics(inventory: DataFrame, creatives: DataFrame | None = None) -> DataFrame:
+    """Warehouse metrics from events; NULL contexts are kept.
+
+    Keys unknown to ``creatives`` are left out. That check runs on the aggregated rows: a
+    group has one game key, so the result is the same and the event log is shuffled once.
+    """
+    return metrics_from_counts(context_counts(inventory), creatives)
+
+
 def campaign_kpis(inventory: DataFrame) -> DataFrame:
     """Percent rates per campaign; a missing event type counts 0, no impressions gives NULL."""
     counted = (

@@ -73,9 +73,12 @@ def campaigns(briefing: DataFrame, tie: Sequence[str] = ()) -> DataFrame:
     return keep_present(clean_briefing(known, tie), columns)
 
 
-def creative_keys(inventory: DataFrame) -> DataFrame:
-    """Distinct game keys that name a creative, with their parts and image file."""
-    keys = inventory.filter(F.contains("game_key", F.lit("/"))).select("game_key").distinct()
+def creative_keys(events: DataFrame) -> DataFrame:
+    """Distinct game keys that name a creative, with their parts and image file.
+
+    ``events`` is the event log or its counts.
+    """
+    keys = events.filter(F.contains("game_key", F.lit("/"))).select("game_key").distinct()
     slug, request_id = split_game_key(F.col("game_key"))
     parts = keys.withColumns({"creative_slug": slug, "creative_request_id": request_id})
     return parts.withColumn(
@@ -83,15 +86,18 @@ def creative_keys(inventory: DataFrame) -> DataFrame:
 
 
 def creatives(
-    inventory: DataFrame,
+    events: DataFrame,
     vision: DataFrame,
     design: DataFrame | None = None,
     vision_order: Sequence[str] = ("filename",),
 ) -> DataFrame:
-    """Creative dimension: every key with a slash, image measures where an image is known."""
+    """Creative dimension: every key with a slash, image measures where an image is known.
+
+    ``events`` is the event log or its counts.
+    """
     images = first_per_key(vision, ["filename"], [F.asc(name) for name in vision_order]).select(
         F.col("filename").alias("image_filename"), *CREATIVE_MEASURES, *CREATIVE_FLAGS)
-    joined = creative_keys(inventory).join(images, "image_filename", "left")
+    joined = creative_keys(events).join(images, "image_filename", "left")
     if design is not None:
         videos = design.groupBy(F.col("request_id").alias("creative_request_id")).agg(
             F.max("has_video").alias("has_video"))

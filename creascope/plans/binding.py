@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from creascope.operators import kpi, linking
 from creascope.operators.design import flatten_design
 from creascope.operators.metrics import fold_summary, mean_importance, regression_metrics
+from creascope.session import stash
 from creascope.sinks.tables import run_importances, run_metrics
 from creascope.sources.files import clean_inventory, describe_assets
 
@@ -195,13 +196,18 @@ class Domain:
             'nChannels', 3, 'mode', 16,
             'data', unhex(array_join(transform(px, x -> {pixel}), ''))) as image""")
 
+    @cached_property
+    def counts(self) -> DataFrame:
+        """Event counts, stored: the dimensions and metrics below share this one scan of the log."""
+        return stash(kpi.context_counts(self.inventory), "context_counts")
+
     @cached_property
     def creatives(self) -> DataFrame:
-        return linking.creatives(self.inventory, self.vision, vision_order=("vec_id",))
+        return linking.creatives(self.counts, self.vision, vision_order=("vec_id",))
 
     @cached_property
     def metrics(self) -> DataFrame:
-        return kpi.creative_metrics(self.inventory, linking.creative_keys(self.inventory))
+        return kpi.metrics_from_counts(self.counts, linking.creative_keys(self.counts))
 
     @cached_property
     def kpis(self) -> DataFrame:

@@ -237,8 +237,8 @@ def creative_kpis_pivot(d):
 
 @query
 def creative_metrics(d):
-    """Warehouse metrics per campaign, creative and context."""
-    return d.metrics
+    """Warehouse metrics per campaign, creative and context, for known creatives."""
+    return kpi.creative_metrics(d.inventory, linking.creative_keys(d.inventory))
 
 
 @query

@@ -62,16 +62,17 @@ def build_warehouse(
     def staged(name: str) -> DataFrame:
         return read_table(spark, f"{out}/{name}")
 
-    inventory = staged("raw_inventory")
+    # the only scan of the event log
+    counts = stash(kpi.context_counts(staged("raw_inventory")), "context_counts")
     has_design = exists(spark, f"{out}/raw_design_metadata")
     design = staged("raw_design_metadata") if has_design else None
     written = {
         "campaigns": write_table(linking.campaigns(staged("raw_briefing"), tie), f"{out}/campaigns"),
         "creatives": write_table(
-            linking.creatives(inventory, staged("raw_vision_features"), design), f"{out}/creatives"),
+            linking.creatives(counts, staged("raw_vision_features"), design), f"{out}/creatives"),
     }
     campaigns, creatives = staged("campaigns"), staged("creatives")
-    metrics = stash(kpi.creative_metrics(inventory, creatives), "creative_metrics")
+    metrics = stash(kpi.metrics_from_counts(counts, creatives), "creative_metrics")
     lost = linking.orphans(metrics, campaigns, "campaign_id")
     if on_orphans == "fail" and not lost.isEmpty():
         raise ValueError("creative metrics refer to campaigns without a briefing")
