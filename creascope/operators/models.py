@@ -26,7 +26,11 @@ TREE_SETTINGS = {
     "maxIter": 300, "stepSize": 0.05, "maxDepth": 6, "minInstancesPerNode": 10,
     "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8", "seed": 42,
 }
+# Target columns, CTR share without a CTR model and the notes of a prediction.
 TARGETS = ("engagement_rate", "click_through_rate")
+CTR_SHARE = 0.1
+NOTE_WITH_IMAGE = "Prediction from multimodal model (tabular + vision)"
+NOTE_WITHOUT_IMAGE = "Prediction from tabular-only model (no image provided)"
 FitFn = Callable[[DataFrame, Sequence[str], str], PipelineModel]
 PREDICTION_SCHEMA = "model string, fold int, y double, prediction double"
 IMPORTANCE_SCHEMA = "model string, fold int, feature string, importance double"
@@ -215,7 +219,7 @@ def fit_targets(
 
 def ctr_or_share(ctr: Column | None, er: Column) -> Column:
     """Predicted CTR, otherwise a tenth of the engagement rate, otherwise 0."""
-    choices = ([] if ctr is None else [ctr]) + [er * 0.1, F.lit(0.0)]
+    choices = ([] if ctr is None else [ctr]) + [er * CTR_SHARE, F.lit(0.0)]
     return F.coalesce(*choices)
 
 
@@ -244,8 +248,7 @@ def score(
     if ctr_model is not None:
         scored = ctr_model.transform(scored).withColumn("_ctr", clip(F.col("prediction"), 0.0, 1.0))
         ctr = F.col("_ctr")
-    note = F.when(F.col("vision_features_used"), "Prediction from multimodal model (tabular + vision)") \
-        .otherwise("Prediction from tabular-only model (no image provided)")
+    note = F.when(F.col("vision_features_used"), NOTE_WITH_IMAGE).otherwise(NOTE_WITHOUT_IMAGE)
     return scored.select(
         *keep, "vision_features_used", "engagement_rate_predicted",
         ctr_or_share(ctr, F.col("engagement_rate_predicted")).alias("click_through_rate_predicted"),

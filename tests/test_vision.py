@@ -125,6 +125,42 @@ def test_resize_keeps_solids_and_identity():
     assert small[0, 0, 0] < 60 and small[0, 1, 0] > 140
 
 
+def resample_line(line, size, kernel, support):
+    """One line resized sample by sample, with the same 22-bit fixed point arithmetic."""
+    ratio = len(line) / size
+    stretch = max(ratio, 1.0)
+    out = []
+    for x in range(size):
+        center = (x + 0.5) * ratio
+        first = max(int(center - support * stretch + 0.5), 0)
+        last = min(int(center + support * stretch + 0.5), len(line))
+        weights = [kernel((i - center + 0.5) / stretch) for i in range(first, last)]
+        total = sum(weights)
+        steps = [w / total * 2**22 for w in weights]
+        steps = [int(w - 0.5) if w < 0 else int(w + 0.5) for w in steps]
+        value = 2**21 + sum(w * int(v) for w, v in zip(steps, line[first:last]))
+        out.append(min(max(value >> 22, 0), 255))
+    return out
+
+
+def cubic(x, a=-0.5):
+    x = abs(x)
+    if x < 1:
+        return ((a + 2) * x - (a + 3)) * x * x + 1
+    return (((x - 5) * x + 8) * x - 4) * a if x < 2 else 0.0
+
+
+@pytest.mark.parametrize("method, kernel, support", [
+    ("bicubic", cubic, 2.0), ("bilinear", lambda x: max(1 - abs(x), 0.0), 1.0)])
+@pytest.mark.parametrize("shape", [(3, 7), (40, 30), (97, 64), (64, 131)])
+def test_resize_against_sample_by_sample_loops(method, kernel, support, shape):
+    gray = np.random.default_rng(sum(shape)).integers(0, 256, shape)
+    wide = [resample_line(row, 64, kernel, support) for row in gray]
+    expected = np.array([resample_line(column, 64, kernel, support) for column in zip(*wide)]).T
+    got = px.resize(np.repeat(gray[:, :, None], 3, axis=2).astype(np.uint8), 64, 64, method)
+    assert (got[..., 0] == expected).all() and (got[..., 2] == expected).all()
+
+
 def test_registry(spark, folder):
     rows = {r.filename: r for r in scan_assets(spark, folder).collect()}
     assert len(rows) == 8
