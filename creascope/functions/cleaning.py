@@ -16,6 +16,8 @@ DAY_FIRST_FORMATS = (
     "d/M/yyyy[ H:mm[:ss]]", "d-M-yyyy[ H:mm[:ss]]", "d.M.yyyy[ H:mm[:ss]]",
     "yyyy-M-d[ H:mm[:ss]]", "yyyy/M/d[ H:mm[:ss]]",
 )
+# Further layouts of event times, month first.
+EVENT_TIME_FORMATS = ("M/d/yyyy[ H:mm[:ss]]", "yyyy/M/d[ H:mm[:ss]]")
 # Placement marker in the slug -> placement type, in order of precedence.
 PLACEMENTS = {"-mob": "mobile", "-mpu": "mpu", "-tap": "tap", "-bio": "bio"}
 # Name prefixes of visual features.
@@ -36,9 +38,9 @@ def clean_label(value: Column) -> Column:
 
 
 def parse_time(value: Column, formats: Sequence[str] = ()) -> Column:
-    """First layout that fits, then Spark's own ISO reading; anything else is NULL."""
+    """Spark's own ISO reading, then the first layout that fits; anything else is NULL."""
     attempts = [F.try_to_timestamp(value, F.lit(layout)) for layout in formats]
-    return F.coalesce(*attempts, F.try_to_timestamp(value))
+    return F.coalesce(F.try_to_timestamp(value), *attempts)
 
 
 def number_or_null(value: Column) -> Column:

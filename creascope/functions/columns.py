@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # The feature columns of the modelling table.
 CATEGORICAL_FEATURES = ["device_type", "platform_os", "geo_country", "interaction_direction"]
@@ -66,11 +66,14 @@ def feature_sets(df: DataFrame) -> dict[str, list[str]]:
     }
 
 
+def filled_number(name: str, fill: float = 0.0) -> Column:
+    """A column as double; text that is no number, NaN and NULL become ``fill``."""
+    return F.expr(f"coalesce(nullif(try_cast(`{name}` as double), double('NaN')), {float(fill)!r}D)")
+
+
 def align_columns(df: DataFrame, expected: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """Exactly ``expected`` as doubles, in that order; absent columns and NULLs become 0.0."""
-    zero = F.lit(0.0)
+    """Exactly ``expected`` as doubles, in that order; absent columns, NaN and NULL become 0.0."""
     aligned = [
-        (F.coalesce(F.col(name).cast("double"), zero) if name in df.columns else zero).alias(name)
-        for name in expected
+        (filled_number(name) if name in df.columns else F.lit(0.0)).alias(name) for name in expected
     ]
     return df.select(*keep, *aligned)

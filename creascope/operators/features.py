@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from creascope.functions.cleaning import category_text
 from creascope.functions.columns import (
-    CATEGORICAL_FEATURES, select_tabular_features, select_vision_features,
+    CATEGORICAL_FEATURES, filled_number, select_tabular_features, select_vision_features,
 )
 from creascope.operators.linking import attach_vision
 from creascope.session import stash
@@ -133,11 +133,7 @@ def median_fills(df: DataFrame, columns: Sequence[str], approx: bool = False) ->
 
 
 def fill_numbers(df: DataFrame, columns: Sequence[str], fills: Mapping[str, float]) -> DataFrame:
-    """Columns as doubles; text that is no number, NaN and NULL become the fill value."""
-    filled = "coalesce(nullif(try_cast(`{0}` as double), double('NaN')), {1!r}D)"
-    return df.withColumns({
-        name: F.expr(filled.format(name, float(fills.get(name, 0.0)))) for name in columns
-    })
+    return df.withColumns({name: filled_number(name, fills.get(name, 0.0)) for name in columns})
 
 
 def feature_matrix(
@@ -146,7 +142,7 @@ def feature_matrix(
     encoders: DataFrame | None = None,
     fills: Mapping[str, float] | None = None,
     approx: bool = False,
-    vision_order: Sequence[str] = ("filename",),
+    vision_order: Sequence[str] = (),
 ) -> tuple[DataFrame, DataFrame, dict[str, float]]:
     """Linked rows with image features, category codes and filled numbers.
 

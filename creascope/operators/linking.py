@@ -32,13 +32,14 @@ CREATIVE_MEASURES = [
 CREATIVE_FLAGS = ["is_dark_background", "is_light_background"]
 
 
-def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """One row per key by a declared order.
+def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
+    """One row per key by a declared order; what it leaves equal is decided by a row hash.
 
     Filtering on rank 1 lets Spark keep only the best row of each key per task before the
     shuffle, so a hot key costs one row per task.
     """
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    window = Window.partitionBy(*keys).orderBy(*order, F.xxhash64(*df.columns))
+    rank = F.row_number().over(window)
     return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
 
 
@@ -49,8 +50,8 @@ def clean_briefing(
 ) -> DataFrame:
     """Latest submission per campaign, dates day-first, bad numbers 0.
 
-    Equal submission dates are decided by the ``tie`` columns, highest first. The submission
-    date is parsed before it is compared; unreadable dates sort last.
+    Equal submission dates are decided by the ``tie`` columns, highest first, then by a row
+    hash. The submission date is parsed before it is compared; unreadable dates sort last.
     """
     present = set(briefing.columns)
     types = dict(briefing.dtypes)
@@ -62,7 +63,7 @@ def clean_briefing(
     order = [F.desc_nulls_last(name) for name in ("submission_date", *tie) if name in present]
     if "submission_date" in parsed:
         briefing = briefing.withColumn("submission_date", parsed.pop("submission_date"))
-    latest = first_per_key(briefing, ["campaign_id"], order) if order else briefing.dropDuplicates(["campaign_id"])
+    latest = first_per_key(briefing, ["campaign_id"], order)
     return latest.withColumns({**parsed, **numbers})
 
 
@@ -87,17 +88,22 @@ def creative_keys(events: DataFrame) -> DataFrame:
 
 def creatives(
     events: DataFrame,
-    vision: DataFrame,
+    vision: DataFrame | None,
     design: DataFrame | None = None,
-    vision_order: Sequence[str] = ("filename",),
+    vision_order: Sequence[str] = (),
 ) -> DataFrame:
     """Creative dimension: every key with a slash, image measures where an image is known.
 
     ``events`` is the event log or its counts.
     """
-    images = first_per_key(vision, ["filename"], [F.asc(name) for name in vision_order]).select(
-        F.col("filename").alias("image_filename"), *CREATIVE_MEASURES, *CREATIVE_FLAGS)
-    joined = creative_keys(events).join(images, "image_filename", "left")
+    joined = creative_keys(events)
+    if vision is not None:
+        images = first_per_key(vision, ["filename"], [F.asc(name) for name in vision_order]).select(
+            F.col("filename").alias("image_filename"), *CREATIVE_MEASURES, *CREATIVE_FLAGS)
+        joined = joined.join(images, "image_filename", "left")
+    else:
+        joined = joined.withColumns(
+            {name: F.lit(None).cast("double") for name in (*CREATIVE_MEASURES, *CREATIVE_FLAGS)})
     if design is not None:
         videos = design.groupBy(F.col("request_id").alias("creative_request_id")).agg(
             F.max("has_video").alias("has_video"))
@@ -147,7 +153,7 @@ def linked_from_tables(
 
 
 def attach_vision(
-    linked: DataFrame, vision: DataFrame, order: Sequence[str] = ("filename",)
+    linked: DataFrame, vision: DataFrame, order: Sequence[str] = ()
 ) -> DataFrame:
     """Add the vision columns the linked table does not have, first row per file."""
     identity = {"filename", "filepath", "slug", "request_id"}

@@ -64,12 +64,13 @@ def build_warehouse(
 
     # the only scan of the event log
     counts = stash(kpi.context_counts(staged("raw_inventory")), "context_counts")
-    has_design = exists(spark, f"{out}/raw_design_metadata")
-    design = staged("raw_design_metadata") if has_design else None
+    design, vision = (
+        staged(name) if exists(spark, f"{out}/{name}") else None
+        for name in ("raw_design_metadata", "raw_vision_features"))
     written = {
         "campaigns": write_table(linking.campaigns(staged("raw_briefing"), tie), f"{out}/campaigns"),
         "creatives": write_table(
-            linking.creatives(counts, staged("raw_vision_features"), design), f"{out}/creatives"),
+            linking.creatives(counts, vision, design), f"{out}/creatives"),
     }
     campaigns, creatives = staged("campaigns"), staged("creatives")
     metrics = stash(kpi.metrics_from_counts(counts, creatives), "creative_metrics")
@@ -92,7 +93,8 @@ def linked_table(spark: SparkSession, out: str) -> DataFrame:
 def build_features(spark: SparkSession, out: str, force: bool = False) -> DataFrame:
     """Feature table and its dictionaries, from the cache unless ``force`` is set."""
     def compute() -> DataFrame:
-        vision = read_table(spark, f"{out}/raw_vision_features")
+        path = f"{out}/raw_vision_features"
+        vision = read_table(spark, path) if exists(spark, path) else None
         features, encoders, _ = feature_matrix(linked_table(spark, out), vision)
         write_table(encoders, f"{out}/encoders")
         return features

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from creascope import schemas
 from creascope.functions.cleaning import (
-    clean_label, feature_category, missing_to_null, parse_time, placement_type, size_kb,
+    EVENT_TIME_FORMATS, clean_label, feature_category, missing_to_null, parse_time, placement_type, size_kb,
     split_asset_name,
 )
 from creascope.functions.columns import normalize_columns
@@ -33,7 +33,7 @@ def clean_inventory(df: DataFrame) -> DataFrame:
     if "type" in df.columns:
         df = df.withColumn("type", clean_label(F.col("type")))
     if dict(df.dtypes).get("browser_ts") == "string":
-        df = df.withColumn("browser_ts", parse_time(F.col("browser_ts")))
+        df = df.withColumn("browser_ts", parse_time(F.col("browser_ts"), EVENT_TIME_FORMATS))
     return df
 
 

@@ -61,6 +61,8 @@ def test_numbers(one):
 def test_dates_are_day_first(one):
     read = one(*[c.parse_time(F.lit(x), c.DAY_FIRST_FORMATS) for x in ("04/05/2021", "2021-05-04", "13-2-2021", "soon")])
     assert read == [dt.datetime(2021, 5, 4), dt.datetime(2021, 5, 4), dt.datetime(2021, 2, 13), None]
+    event = one(*[c.parse_time(F.lit(x), c.EVENT_TIME_FORMATS) for x in ("4/5/2021 6:07", "2021-05-04T01:02:03")])
+    assert event == [dt.datetime(2021, 4, 5, 6, 7), dt.datetime(2021, 5, 4, 1, 2, 3)]
 
 
 def test_duration(one):
@@ -102,3 +104,5 @@ def test_feature_selection_and_alignment(spark):
     aligned = cols.align_columns(df, ["absent", "has_video", "buy_rate_cpe"])
     assert aligned.columns == ["absent", "has_video", "buy_rate_cpe"]
     assert list(aligned.first()) == [0.0, 0.0, 5.0]
+    odd = spark.sql("select double('NaN') as a, 'x' as b, '2' as c, true as d")
+    assert list(cols.align_columns(odd, ["a", "b", "c", "d"]).first()) == [0.0, 0.0, 2.0, 1.0]

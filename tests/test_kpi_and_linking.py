@@ -145,6 +145,17 @@ def test_creatives_take_video_from_design(spark):
     assert (rows["x/y/req_ccc"].has_video, rows["x/y/req_ccc"].brightness_mean) == (False, 0.0)
     plain = linking.creatives(events(spark), vision).filter("has_video")
     assert plain.isEmpty()
+    blind = linking.creatives(events(spark), None)
+    assert blind.count() == 3 and blind.filter("brightness_mean <> 0 or is_dark_background").isEmpty()
+
+
+def test_deduplication_without_an_order_is_repeatable(spark):
+    rows = [(f"k{i % 3}", i) for i in range(60)]
+    picks = set()
+    for parts in (1, 3, 7):
+        df = spark.createDataFrame(rows, "k string, v int").repartition(parts)
+        picks.add(tuple(sorted(tuple(r) for r in linking.first_per_key(df, ["k"]).collect())))
+    assert len(picks) == 1 and len(picks.pop()) == 3
 
 
 def test_reports_on_joins(spark):

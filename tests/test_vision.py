@@ -3,7 +3,6 @@ import zlib
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from creascope.functions import pixels as px
 from creascope.operators import vision
