@@ -8,7 +8,8 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.ml.feature import PCA, ElementwiseProduct, PCAModel, StandardScaler
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import PCA, ElementwiseProduct, StandardScaler
 from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -141,29 +142,50 @@ def embed_images(
         embed(image["data"], image["height"], image["width"], image["nChannels"]).alias("embedding"))
 
 
-def standardize(df: DataFrame, column: str, output: str = "scaled") -> DataFrame:
-    """Centre every dimension of an array column and divide by its population deviation.
+def _vectors(df: DataFrame, column: str) -> DataFrame:
+    return df.withColumn("_vector", array_to_vector(F.col(column).cast("array<double>")))
+
+
+def fit_standardizer(df: DataFrame, column: str) -> PipelineModel:
+    """Centre every dimension and divide by its population deviation; constants become 0.
 
     The library's scaler uses the sample deviation; the constant factor between the two is
-    applied afterwards. A constant dimension becomes 0.
+    applied afterwards.
     """
     n = df.count()
-    vectors = df.withColumn("_vector", array_to_vector(F.col(column).cast("array<double>")))
-    scaler = StandardScaler(withMean=True, withStd=True, inputCol="_vector", outputCol="_scaled").fit(vectors)
+    scaler = StandardScaler(
+        withMean=True, withStd=True, inputCol="_vector", outputCol="_centred").fit(_vectors(df, column))
     factor = (n / (n - 1)) ** 0.5 if n > 1 else 1.0
     product = ElementwiseProduct(
-        scalingVec=Vectors.dense([factor] * scaler.mean.size), inputCol="_scaled", outputCol="_product")
-    scaled = product.transform(scaler.transform(vectors))
-    return scaled.withColumn(output, vector_to_array("_product")).drop("_vector", "_scaled", "_product")
+        scalingVec=Vectors.dense([factor] * scaler.mean.size), inputCol="_centred", outputCol="_scaled")
+    return PipelineModel([scaler, product])
+
 
+def fit_projection(df: DataFrame, column: str, k: int = 32) -> PipelineModel:
+    """Standardiser and the first ``min(k, n - 1)`` principal components.
 
-def pca(df: DataFrame, column: str, k: int = 32, output: str = "components") -> tuple[DataFrame, PCAModel]:
-    """First ``min(k, n - 1)`` principal components of an array column and the fitted model."""
-    vectors = df.withColumn("_vector", array_to_vector(F.col(column)))
+    Saved and loaded with the usual writers, so that later images are projected alike.
+    """
+    standardizer = fit_standardizer(df, column)
     size = min(k, df.count() - 1)
-    model = PCA(k=size, inputCol="_vector", outputCol="_components").fit(vectors)
-    projected = model.transform(vectors).withColumn(output, vector_to_array("_components"))
-    return projected.drop("_vector", "_components"), model
+    pca_ = PCA(k=size, inputCol="_scaled", outputCol="_components")
+    return PipelineModel([*standardizer.stages, pca_.fit(standardizer.transform(_vectors(df, column)))])
+
+
+def project(df: DataFrame, column: str, model: PipelineModel, output: str = "components") -> DataFrame:
+    """Array column after the last stage of a fitted standardiser or projection."""
+    outputs = [stage.getOutputCol() for stage in model.stages]
+    result = model.transform(_vectors(df, column)).withColumn(output, vector_to_array(outputs[-1]))
+    return result.drop("_vector", *outputs)
+
+
+def standardize(df: DataFrame, column: str, output: str = "scaled") -> DataFrame:
+    return project(df, column, fit_standardizer(df, column), output)
+
+
+def explained_variance(projection: PipelineModel) -> list[float]:
+    """Share of the variance per component."""
+    return list(projection.stages[-1].explainedVariance.toArray())
 
 
 def widen(df: DataFrame, column: str, k: int, prefix: str = PCA_PREFIX) -> DataFrame:
@@ -176,7 +198,7 @@ def widen(df: DataFrame, column: str, k: int, prefix: str = PCA_PREFIX) -> DataF
 def file_name(origin: Column) -> Column:
     """Plain file name at the end of an image origin, which is a percent-encoded URI."""
     encoded = F.substring_index(origin, "/", -1)
-    return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
+    return F.coalesce(F.try_url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B"))), encoded)
 
 
 def vision_table(
@@ -186,20 +208,25 @@ def vision_table(
     k: int = 32,
     image_size: int = 224,
     batch_size: int = 16,
-) -> DataFrame:
+    projection: PipelineModel | None = None,
+) -> tuple[DataFrame, PipelineModel | None]:
     """One row per registered image: identity, measures and ``vision_pca_*``.
 
     ``registry`` comes from the asset scan, ``images`` from the image source; they are joined
-    on the file name. Without a model the components are all 0.0.
+    on the file name. Without a model the components are all 0.0. The projection is fitted on
+    these images unless one is given, and returned.
     """
     identity = registry.select("filename", "slug", "request_id", "placement_type", "file_size_kb")
     measures = handcrafted_features(images)
     measures = measures.select(file_name(F.col("origin")).alias("filename"), *MEASURES)
     table = identity.join(measures, "filename", "left").na.fill(px.UNREADABLE)
     if make_predict_fn is None:
-        return table.withColumns({f"{PCA_PREFIX}{i}": F.lit(0.0) for i in range(k)})
+        return table.withColumns({f"{PCA_PREFIX}{i}": F.lit(0.0) for i in range(k)}), None
     # inference is the expensive step: run it once, then fit on the stored vectors
     embedded = stash(embed_images(images, make_predict_fn, batch_size, image_size), "embeddings")
-    projected, model = pca(standardize(embedded, "embedding"), "scaled", k)
-    files = projected.select(file_name(F.col("origin")).alias("filename"), "components")
-    return widen(table.join(files, "filename", "left"), "components", model.getK())
+    if projection is None:
+        projection = fit_projection(embedded, "embedding", k)
+    files = project(embedded, "embedding", projection).select(
+        file_name(F.col("origin")).alias("filename"), "components")
+    width = projection.stages[-1].getK()
+    return widen(table.join(files, "filename", "left"), "components", width), projection

@@ -469,16 +469,16 @@ def standardized_embeddings(d):
 @query
 def embedding_components(d):
     """Principal components of the standardised embeddings."""
-    scaled = vision.standardize(d.table("embeddings"), "embedding").select("vec_id", "scaled")
-    projected, _ = vision.pca(scaled, "scaled", 32)
+    vectors = d.table("embeddings").select("vec_id", "embedding")
+    projected = vision.project(vectors, "embedding", vision.fit_projection(vectors, "embedding", 32))
     return vision.widen(projected.select("vec_id", "components"), "components", 32)
 
 
 @query
 def component_norms(d):
     """Squared length of every embedding in all its components: a full rotation keeps it."""
-    scaled = vision.standardize(d.table("embeddings"), "embedding").select("vec_id", "scaled")
-    projected, _ = vision.pca(scaled, "scaled", 64)
+    vectors = d.table("embeddings").select("vec_id", "embedding")
+    projected = vision.project(vectors, "embedding", vision.fit_projection(vectors, "embedding", 64))
     squares = F.aggregate("components", F.lit(0.0), lambda acc, x: acc + x * x)
     return projected.select("vec_id", squares.alias("norm"))
 
@@ -505,7 +505,8 @@ def image_table(d):
         F.col("image.origin").alias("filename"),
         F.lit("adunit").alias("slug"), F.lit(None).cast("string").alias("request_id"),
         F.lit("unknown").alias("placement_type"), F.lit(0.0).alias("file_size_kb"))
-    return vision.vision_table(registry, d.images, _channel_model(), k=4, image_size=32)
+    table, _ = vision.vision_table(registry, d.images, _channel_model(), k=4, image_size=32)
+    return table
 
 
 # --- models ------------------------------------------------------------------------------

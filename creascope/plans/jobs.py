@@ -12,11 +12,13 @@ from creascope.operators import kpi, linking
 from creascope.operators.design import flatten_design, legacy_design_table
 from creascope.operators.features import feature_matrix
 from creascope.operators.models import TARGETS, FitFn, benchmark, fit_targets, fit_trees, score
+from creascope.operators.vision import vision_table
 from creascope.schemas import INVENTORY
 from creascope.sinks.tables import (
     append_run, exists, materialize, read_table, write_if_empty, write_json, write_table,
 )
 from creascope.session import stash
+from creascope.sources.files import read_images, scan_assets
 
 
 def load_staging(
@@ -46,6 +48,29 @@ def load_staging(
     return written
 
 
+def build_vision(
+    spark: SparkSession, out: str, folder: str, make_predict_fn=None,
+    k: int = 32, image_size: int = 224, reuse_projection: bool = False, force: bool = False,
+) -> DataFrame:
+    """Store the image registry and the image features of a folder, from the cache unless forced.
+
+    The fitted projection is stored too; ``reuse_projection`` applies the stored one, which
+    keeps the components of new images comparable with those a model was trained on.
+    """
+    def compute() -> DataFrame:
+        saved = f"{out}/models/projection"
+        given = PipelineModel.load(saved) if reuse_projection else None
+        registry = scan_assets(spark, folder)
+        write_table(registry, f"{out}/raw_creative_assets")
+        table, projection = vision_table(
+            registry, read_images(spark, folder), make_predict_fn, k, image_size, projection=given)
+        if projection is not None and given is None:
+            projection.write().overwrite().save(saved)
+        return table
+
+    return materialize(spark, f"{out}/raw_vision_features", compute, force)
+
+
 def write_legacy_design(design_docs: DataFrame, path: str) -> int:
     """Store the older nine-column design table."""
     return write_table(legacy_design_table(design_docs), path)

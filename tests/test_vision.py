@@ -3,9 +3,11 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
 
 from creascope.functions import pixels as px
 from creascope.operators import vision
+from creascope.plans import jobs
 from creascope.sources.files import read_images, scan_assets
 
 
@@ -193,24 +195,35 @@ def test_standardize(spark):
     assert (got[:, 2] == 0).all()
 
 
-def test_principal_components(spark):
-    x = np.random.default_rng(6).normal(size=(40, 5)) @ np.diag([5, 3, 1, 0.5, 0.1])
+def test_principal_components(spark, tmp_path):
+    x = np.random.default_rng(6).normal(size=(40, 5)) @ np.diag([5, 3, 1, 0.5, 0.1]) @ np.ones((5, 5)).cumsum(axis=0)
+    x += np.random.default_rng(7).normal(size=x.shape)
     df = spark.createDataFrame([(i, list(map(float, v))) for i, v in enumerate(x)], "id int, v array<double>")
-    projected, model = vision.pca(df, "v", 3)
-    total = model.explainedVariance.toArray()
-    assert len(total) == 3 and 0 < total.sum() <= 1 and (np.diff(total) <= 0).all()
-    centred = x - x.mean(axis=0)
-    variances = np.linalg.svd(centred, compute_uv=False) ** 2
-    assert total == pytest.approx(variances[:3] / variances.sum(), rel=1e-6)
-    wide = vision.widen(projected, "components", 4)
+    model = vision.fit_projection(df, "v", 3)
+    shares = np.array(vision.explained_variance(model))
+    assert len(shares) == 3 and 0 < shares.sum() <= 1 and (np.diff(shares) <= 0).all()
+    z = (x - x.mean(axis=0)) / x.std(axis=0)
+    _, singular, axes = np.linalg.svd(z, full_matrices=False)
+    assert shares == pytest.approx((singular ** 2 / (singular ** 2).sum())[:3], rel=1e-6)
+    rows = vision.project(df, "v", model).orderBy("id")
+    got = np.array([r.components for r in rows.collect()])
+    assert np.abs(got) == pytest.approx(np.abs(z @ axes[:3].T), abs=1e-8)  # signs are free
+    wide = vision.widen(rows, "components", 4)
     assert wide.columns[-4:] == [f"vision_pca_{i}" for i in range(4)]
     assert wide.filter("vision_pca_3 <> 0").isEmpty()
-    assert vision.pca(df.limit(3), "v", 5)[1].getK() == 2
+    assert vision.fit_projection(df.limit(3), "v", 5).stages[-1].getK() == 2
+    # a stored projection gives other rows the same coordinates
+    model.write().overwrite().save(str(tmp_path / "projection"))
+    loaded = PipelineModel.load(str(tmp_path / "projection"))
+    again = vision.project(df.limit(1), "v", loaded).first().components
+    assert again == pytest.approx(list(got[0]))
 
 
 @pytest.mark.parametrize("model", [None, channel_means()])
 def test_vision_stage_has_one_row_per_file(spark, folder, model):
-    table = vision.vision_table(scan_assets(spark, folder), read_images(spark, folder), model, k=2, image_size=8)
+    table, projection = vision.vision_table(
+        scan_assets(spark, folder), read_images(spark, folder), model, k=2, image_size=8)
+    assert (projection is None) == (model is None)
     rows = {r.filename: r for r in table.collect()}
     assert len(rows) == 8 and len(set(table.columns)) == len(table.columns)
     assert rows["adunit-broken.png"].brightness_mean == 0.5
@@ -220,3 +233,14 @@ def test_vision_stage_has_one_row_per_file(spark, folder, model):
     components = np.array([[r.vision_pca_0, r.vision_pca_1] for r in rows.values()], dtype=float)
     assert np.isfinite(components).all()
     assert (components == 0).all() == (model is None)
+
+
+def test_vision_job_stores_registry_features_and_projection(spark, folder, tmp_path):
+    out = str(tmp_path)
+    first = {r.filename: r for r in jobs.build_vision(
+        spark, out, folder, channel_means(), k=2, image_size=8).collect()}
+    assert spark.read.parquet(f"{out}/raw_creative_assets").count() == 8
+    assert len(vision.explained_variance(PipelineModel.load(f"{out}/models/projection"))) == 2
+    again = jobs.build_vision(spark, out, folder, channel_means(), k=2, image_size=8, reuse_projection=True, force=True)
+    for r in again.collect():
+        assert r.vision_pca_0 == pytest.approx(first[r.filename].vision_pca_0, abs=1e-6)
