@@ -24,6 +24,7 @@ PLACEMENTS = {"-mob": "mobile", "-mpu": "mpu", "-tap": "tap", "-bio": "bio"}
 VISUAL_PREFIXES = (
     "vision_", "color_", "dominant_", "brightness", "saturation", "aspect_", "visual_", "is_",
 )
+# Fixed value: characters of a request id in a file name.
 REQUEST_ID_LENGTH = 20
 _BLANKS = " \t\r\n\f\x0b"
 

@@ -6,6 +6,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from creascope import schemas
 
+# Dominant palette entry, channel range, missing direction.
+DOMINANT_KEY = "1"
+CHANNEL_RANGE = 255
+NO_DIRECTION = "no direction"
+
 def _explode_object(df: DataFrame, text: str, key: str, value: str, *keep: str) -> DataFrame:
     """One row per entry of a JSON object held as text; anything but an object gives no row."""
     entries = F.from_json(F.col(text), schemas.TEXT_MAP)
@@ -63,12 +68,12 @@ def flatten_design(docs: DataFrame, doc: str = "doc") -> DataFrame:
         F.from_json("record.colors.engagement", schemas.TEXT_MAP).alias("palette"),
         _video_flag(F.col("record.videos_data.has_video")).alias("has_video"),
     ).withColumns({
-        "dominant": color_entry(F.try_element_at("palette", F.lit("1"))),
+        "dominant": color_entry(F.try_element_at("palette", F.lit(DOMINANT_KEY))),
         "entries": F.filter(F.transform(F.map_values("palette"), color_entry), lambda c: c.isNotNull()),
     })
 
     def channel(name: str) -> Column:
-        return or_zero(F.col(f"dominant.{name}") / 255)
+        return or_zero(F.col(f"dominant.{name}") / CHANNEL_RANGE)
 
     red, green, blue = channel("red"), channel("green"), channel("blue")
     width = or_zero(F.col("record.adunit_sizes.size_x"))
@@ -94,7 +99,7 @@ def flatten_design(docs: DataFrame, doc: str = "doc") -> DataFrame:
         ((red + green + blue) / 3).alias("brightness"),
         "has_video",
         F.when(F.col("has_video") != 0, mean_of(lengths)).otherwise(0.0).alias("video_length_seconds"),
-        F.coalesce("record.direction.direction", F.lit("no direction")).alias("interaction_direction"),
+        F.coalesce("record.direction.direction", F.lit(NO_DIRECTION)).alias("interaction_direction"),
         width.alias("adunit_width"),
         height.alias("adunit_height"),
         F.when(height > 0, width / height).otherwise(0.0).alias("aspect_ratio"),
