@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from creascope.llm.common import stored
 
@@ -40,42 +40,55 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
 
 
 def components_of_buckets(
-    members: DataFrame, verify: Callable[[DataFrame], DataFrame], close: Callable[[str, str], object],
+    members: DataFrame, verify: Callable[[DataFrame], DataFrame], close: Callable[..., Column],
+    private: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """(node, component) over all linked pairs (x, y) that share a bucket.
 
     ``members`` holds (key, node, size) with distinct (key, node). ``verify`` takes pairs
-    (a, b) and returns those that are linked; ``close`` is a cheap exact test of two sizes.
+    (a, b) and returns those that are linked. ``close`` is an exact bound, false only if a pair
+    cannot be linked, from the size of either end and the part of it that any other node has, too;
+    ``private`` counts, for a table of nodes, the elements that none of the others has.
 
-    No bucket is expanded into all its pairs. Every member is first compared with the smallest
-    and the largest node of its bucket, which joins a bucket of near copies into few components.
-    A pair whose ends are connected already needs no test, so what remains are the members
-    outside the largest component of their bucket; each is compared with the bucket's members in
-    other components. After that every pair of every bucket is either connected or was tested.
+    No bucket is expanded into all its pairs. Every member is first compared with the centre of
+    its bucket, the member with most company over all its buckets: around an original and its
+    edited copies that is the original, and the bucket becomes few components. A pair whose ends are
+    connected needs no test, so what remains are the members outside the largest component of
+    their bucket; each is compared with the members in other components that ``close`` admits.
+    After that every pair of every bucket is connected, excluded by the bound, or tested.
     """
     members = members.select("key", "node", "size")
-    heads = members.groupBy("key").agg(
-        F.count("*").alias("n"), F.min(F.struct("node", "size")).alias("lo"),
-        F.max(F.struct("node", "size")).alias("hi")).filter("n > 1").drop("n")
-    shared = stored(members.join(heads, "key"), "shared")
-    led = shared.select(F.col("node").alias("x"), F.col("size").alias("sx"), F.explode(F.array("lo", "hi")).alias("head"))
-    led = led.select(
-        F.least("x", "head.node").alias("a"), F.greatest("x", "head.node").alias("b"), "sx",
-        F.col("head.size").alias("sy")).filter("a <> b").filter(close("sx", "sy"))
-    first = stored(verify(led.select("a", "b").distinct()), "links")
+    counts = members.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    shared = stored(members.join(counts, "key"), "shared")
+    company = shared.groupBy("node").agg(F.sum("n").alias("company"))
+    heads = shared.join(company, "node").groupBy("key").agg(
+        F.max(F.struct("company", -F.col("node"), "size")).alias("h")).select(
+        "key", (-F.col("h.col2")).alias("head"), F.col("h.size").alias("head_size"))
+    led = shared.join(heads, "key").filter("node <> head").filter(close("size", "size", "head_size", "head_size"))
+    first = stored(verify(led.select(
+        F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()), "links")
     joined = connected_components(first)
 
     # buckets of two are settled by now
-    larger = shared.filter("node <> lo.node and node <> hi.node").select("key").distinct()
-    placed = shared.select("key", "node", "size").join(larger, "key").join(joined, "node", "left").select(
+    placed = shared.filter("n > 2").join(joined, "node", "left").select(
         "key", "node", "size", F.coalesce("component", "node").alias("component"))
     main = placed.groupBy("key", "component").agg(F.count("*").alias("n")).groupBy("key").agg(
         F.count("*").alias("parts"), F.max(F.struct("n", "component")).alias("top")).filter("parts > 1")
-    placed = stored(placed.join(main.select("key", F.col("top.component").alias("main")), "key"), "unsettled")
+    placed = stored(placed.join(main.select("key", F.col("top.component").alias("main")), "key").join(
+        heads.select("key", "head"), "key"), "unsettled")
+    if private is None:
+        placed = placed.withColumn("common", F.col("size"))
+    else:
+        alone = private(placed.select("node").distinct())
+        placed = placed.join(alone, "node", "left").withColumn(
+            "common", F.col("size") - F.coalesce("private", F.lit(0))).drop("private")
+    placed = placed.filter("node <> head")
     outside = placed.filter("component <> main").select(
-        "key", F.col("node").alias("x"), F.col("size").alias("sx"), F.col("component").alias("cx"))
+        "key", F.col("node").alias("x"), F.col("size").alias("x_size"), F.col("common").alias("x_common"),
+        F.col("component").alias("x_component"))
     # two members outside the main component meet twice; the smaller node's row is enough
-    pairs = outside.join(placed, "key").filter("component <> cx and (component = main or x < node)").filter(
-        close("sx", "size")).select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
-    rest = verify(pairs)
-    return connected_components(first.unionByName(rest))
+    pairs = outside.join(placed, "key").filter(
+        "component <> x_component and (component = main or x < node)").filter(
+        close("x_size", "x_common", "size", "common")).select(
+        F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
+    return connected_components(first.unionByName(verify(pairs)))

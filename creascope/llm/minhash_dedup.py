@@ -84,6 +84,19 @@ def shingle_sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.Recor
                 [batch.column(0).slice(lo, hi - lo), pa.array(sets, pa.binary())], names=["node", "shingles"])
 
 
+def shingle_rows(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """(node, shingle) for every distinct shingle of a document."""
+    for batch in batches:
+        data, offsets = buffers(batch.column(1))
+        ids = batch.column(0).to_numpy()
+        for lo, hi in slices(offsets):
+            hashed, bounds = shingles(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], k)
+            sets = [np.unique(hashed[bounds[i]:bounds[i + 1]]) for i in range(hi - lo)]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.repeat(ids[lo:hi], [len(s) for s in sets])), pa.array(signed(np.concatenate(sets)))],
+                names=["node", "shingle"])
+
+
 def similar_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """The pairs (a, b) whose full sets pass the Jaccard test."""
     for batch in batches:
@@ -131,10 +144,20 @@ def near_duplicates(
         tested = pairs.join(left, "a").join(right, "b").select("a", "b", "left_set", "right_set")
         return tested.mapInArrow(lambda b: similar_pairs(b, percent), "a long, b long")
 
-    def close(x: str, y: str):
-        return 100 * F.least(x, y) >= percent * F.greatest(x, y)
+    def close(x: str, x_common: str, y: str, y_common: str):
+        # the intersection has at most what the smaller end shares with anyone
+        most = F.least(x_common, y_common)
+        return 100 * most >= percent * (F.col(x) + F.col(y) - most)
+
+    def private(ends: DataFrame) -> DataFrame:
+        ends = stored(ends.withColumnRenamed("node", "doc_id"), "ends")
+        involved = texts.join(ends, "doc_id", "left_semi")
+        pieces = involved.mapInArrow(lambda b: shingle_rows(b, k), "node long, shingle long")
+        once = pieces.groupBy("shingle").agg(
+            F.min("node").alias("node"), F.max("node").alias("other")).filter("node = other")
+        return stored(once.groupBy("node").agg(F.count("*").alias("private")), "private")
 
-    linked = components_of_buckets(buckets, verify, close)
+    linked = components_of_buckets(buckets, verify, close, private)
     found = members.join(linked, "node", "left").select(
         "doc_id", F.coalesce("component", "node").alias("component_id")).distinct()
     return signed_docs.select("doc_id", "n_shingles").join(found, "doc_id", "left").select(
