@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from creascope.llm import decontaminate, exact_dedup, minhash_dedup, mixing, toxicity
+from creascope.llm import (
+    decontaminate, exact_dedup, html_extract, language_id, line_dedup, minhash_dedup, mixing, pii_surrogates,
+    token_counts, toxicity)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -21,11 +23,27 @@ def contaminations(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminations(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    return pii_surrogates.pseudonymised(table(spark, folder, "documents"))
+
+
 def source_mix(spark: SparkSession, folder: str) -> DataFrame:
     sampled = mixing.sample_mix(table(spark, folder, "documents"))
     return sampled.select("doc_id", "mix_tokens", F.round("mix_probability", 6).alias("mix_probability"))
 
 
+def main_texts(spark: SparkSession, folder: str) -> DataFrame:
+    return html_extract.main_texts(table(spark, folder, "pages"))
+
+
+def fuzzy_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document how many of its lines, and of their characters, are first occurrences."""
+    lines = line_dedup.fuzzy_lines(table(spark, folder, "documents"))
+    return lines.groupBy("doc_id").agg(
+        F.count("*").alias("n_lines"), F.count_if("kept").alias("n_kept"),
+        F.sum(F.when(F.col("kept"), F.col("n_chars")).otherwise(0)).alias("kept_chars"))
+
+
 def exact_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, folder, "documents"))
 
@@ -35,12 +53,26 @@ def toxicity_scores(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(docs, toxicity.fit_model(docs, table(spark, folder, "labels")))
 
 
+def languages(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return language_id.languages(docs, language_id.fit_model(docs))
+
+
+def token_totals(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": near_duplicates,
     "op2_decontamination": contaminations,
+    "op3_pii_surrogates": surrogates,
     "op4_source_mix": source_mix,
+    "op5_main_text": main_texts,
+    "op6_fuzzy_lines": fuzzy_lines,
     "op7_exact_duplicates": exact_duplicates,
     "op8_toxicity": toxicity_scores,
+    "op9_language": languages,
+    "op10_token_counts": token_totals,
 }
 
 WORDS = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
