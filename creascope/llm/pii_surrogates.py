@@ -52,16 +52,35 @@ PATTERNS = (
     ("name", r"(?<!\w)(?:(?:%s)\.? (?:[A-ZÀ-ÖØ-ÞА-Я][\w'’-]+ ){0,1}[A-ZÀ-ÖØ-ÞА-Я][\w'’-]+|(?:%s) [A-ZÀ-ÖØ-ÞА-Я][\w'’-]{2,})" % (
         "|".join(TITLES), "|".join(_given))),
 )
-FINDER = re.compile("|".join(f"(?P<{name}>{pattern})" for name, pattern in PATTERNS))
-# every entity has one of these somewhere; most texts are passed over by this cheap test
-HINT = re.compile(r"[@\d]|(?:%s)\b" % "|".join([*TITLES, *_given]))
+NUMBERED = re.compile("|".join(f"(?P<{name}>{pattern})" for name, pattern in PATTERNS if name != "name"))
+NAMED = re.compile(dict(PATTERNS)["name"])
+# where an entity can be: a sign that addresses and numbers have, or a capital word
+SIGN = re.compile(r"[@\d]")
+REST = re.compile(r"\S*(?:[ \t]\(?\S*?\d\S*)*")
+CAPITAL = re.compile(r"(?<!\w)[A-ZА-Я]\w+")
+OPENERS = frozenset([*TITLES, *_given])
 
 
-def entities(text: str) -> Iterator[tuple[int, int, str, str]]:
-    """(start, end, type, canonical form) from left to right, without overlaps."""
-    for found in FINDER.finditer(text):
-        kind = next(name for name, _ in PATTERNS if found.group(name) is not None)
-        yield found.start(), found.end(), kind, canonical(kind, found.group())
+def entities(text: str) -> list[tuple[int, int, str, str]]:
+    """(start, end, type, canonical form) from left to right, without overlaps.
+
+    Only the words around a digit or an at sign, and capital words that can open a name, are
+    matched against the patterns.
+    """
+    found, at = [], 0
+    while sign := SIGN.search(text, at):
+        start = max(text.rfind(" ", at, sign.start()) + 1, text.rfind("\n", at, sign.start()) + 1, at)
+        at = REST.match(text, sign.start()).end()
+        for match in NUMBERED.finditer(text, start, at):
+            kind = next(name for name, _ in PATTERNS if name != "name" and match.group(name) is not None)
+            found.append((match.start(), match.end(), kind, canonical(kind, match.group())))
+    numbered = len(found)
+    for word in CAPITAL.finditer(text):
+        if word.group() in OPENERS:
+            match = NAMED.match(text, word.start())
+            if match and not any(s < match.end() and match.start() < e for s, e, _, _ in found[:numbered]):
+                found.append((match.start(), match.end(), "name", canonical("name", match.group())))
+    return sorted(found) if len(found) > numbered else found
 
 
 def canonical(kind: str, value: str) -> str:
@@ -186,7 +205,7 @@ def entity_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keys, kinds, forms = [], [], []
         for text in batch.column(0).to_pylist():
-            if text and HINT.search(text):
+            if text:
                 found = {(kind, form) for _, _, kind, form in entities(text)}
                 keys += [digest(text)] * len(found)
                 kinds += [kind for kind, _ in found]
@@ -207,7 +226,7 @@ def surrogate_rows(batches: Iterator[pa.RecordBatch], key: bytes) -> Iterator[pa
 def keyed_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, text) and the text's digest if it has entities."""
     for batch in batches:
-        keys = [digest(t) if t and HINT.search(t) and next(entities(t), None) else None for t in batch.column(1).to_pylist()]
+        keys = [digest(t) if t and entities(t) else None for t in batch.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(keys, pa.binary())], names=["doc_id", "text", "text_key"])
 
 
