@@ -45,10 +45,11 @@ def components_of_buckets(
 ) -> DataFrame:
     """(node, component) over all linked pairs (x, y) that share a bucket.
 
-    ``members`` holds (key, node, size) with distinct (key, node). ``verify`` takes pairs
+    ``members`` holds (key, node, size, bits) with distinct (key, node). ``verify`` takes pairs
     (a, b) and returns those that are linked. ``close`` is an exact bound, false only if a pair
-    cannot be linked, from the size of either end and the part of it that any other node has, too;
-    ``private`` counts, for a table of nodes, the elements that none of the others has.
+    cannot be linked, from (size, common, bits) of either end, ``common`` being the part of the size
+    that any other node has, too; ``private`` counts, for a table of nodes, the elements that none
+    of the others has.
 
     No bucket is expanded into all its pairs. Every member is first compared with the centre of
     its bucket, the member with most company over all its buckets: around an original and its
@@ -57,21 +58,22 @@ def components_of_buckets(
     their bucket; each is compared with the members in other components that ``close`` admits.
     After that every pair of every bucket is connected, excluded by the bound, or tested.
     """
-    members = members.select("key", "node", "size")
+    members = members.select("key", "node", "size", "bits")
     counts = members.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     shared = stored(members.join(counts, "key"), "shared")
     company = shared.groupBy("node").agg(F.sum("n").alias("company"))
     heads = shared.join(company, "node").groupBy("key").agg(
-        F.max(F.struct("company", -F.col("node"), "size")).alias("h")).select(
-        "key", (-F.col("h.col2")).alias("head"), F.col("h.size").alias("head_size"))
-    led = shared.join(heads, "key").filter("node <> head").filter(close("size", "size", "head_size", "head_size"))
+        F.max(F.struct("company", (-F.col("node")).alias("minus"), "size", "bits")).alias("h")).select(
+        "key", (-F.col("h.minus")).alias("head"), F.col("h.size").alias("head_size"), F.col("h.bits").alias("head_bits"))
+    led = shared.join(heads, "key").filter("node <> head").filter(
+        close(("size", "size", "bits"), ("head_size", "head_size", "head_bits")))
     first = stored(verify(led.select(
         F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()), "links")
     joined = connected_components(first)
 
     # buckets of two are settled by now
     placed = shared.filter("n > 2").join(joined, "node", "left").select(
-        "key", "node", "size", F.coalesce("component", "node").alias("component"))
+        "key", "node", "size", "bits", F.coalesce("component", "node").alias("component"))
     main = placed.groupBy("key", "component").agg(F.count("*").alias("n")).groupBy("key").agg(
         F.count("*").alias("parts"), F.max(F.struct("n", "component")).alias("top")).filter("parts > 1")
     placed = stored(placed.join(main.select("key", F.col("top.component").alias("main")), "key").join(
@@ -85,10 +87,10 @@ def components_of_buckets(
     placed = placed.filter("node <> head")
     outside = placed.filter("component <> main").select(
         "key", F.col("node").alias("x"), F.col("size").alias("x_size"), F.col("common").alias("x_common"),
-        F.col("component").alias("x_component"))
+        F.col("bits").alias("x_bits"), F.col("component").alias("x_component"))
     # two members outside the main component meet twice; the smaller node's row is enough
     pairs = outside.join(placed, "key").filter(
         "component <> x_component and (component = main or x < node)").filter(
-        close("x_size", "x_common", "size", "common")).select(
+        close(("x_size", "x_common", "x_bits"), ("size", "common", "bits"))).select(
         F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
     return connected_components(first.unionByName(verify(pairs)))

@@ -132,7 +132,8 @@ def near_duplicates(
 
     nodes = known.join(members.filter("doc_id = node").select("doc_id").distinct(), "doc_id").dropDuplicates(["doc_id"])
     buckets = nodes.select(
-        F.col("doc_id").alias("node"), F.col("n_shingles").alias("size"), F.explode("bands").alias("key"))
+        F.col("doc_id").alias("node"), F.col("n_shingles").alias("size"), F.lit(0).alias("bits"),
+        F.explode("bands").alias("key"))
 
     def verify(pairs: DataFrame) -> DataFrame:
         pairs = stored(pairs, "pairs")
@@ -144,10 +145,10 @@ def near_duplicates(
         tested = pairs.join(left, "a").join(right, "b").select("a", "b", "left_set", "right_set")
         return tested.mapInArrow(lambda b: similar_pairs(b, percent), "a long, b long")
 
-    def close(x: str, x_common: str, y: str, y_common: str):
+    def close(x: tuple[str, str, str], y: tuple[str, str, str]):
         # the intersection has at most what the smaller end shares with anyone
-        most = F.least(x_common, y_common)
-        return 100 * most >= percent * (F.col(x) + F.col(y) - most)
+        most = F.least(x[1], y[1])
+        return 100 * most >= percent * (F.col(x[0]) + F.col(y[0]) - most)
 
     def private(ends: DataFrame) -> DataFrame:
         ends = stored(ends.withColumnRenamed("node", "doc_id"), "ends")
