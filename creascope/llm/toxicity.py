@@ -25,11 +25,11 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BUCKETS_BITS = 18
 BUCKETS = 1 << BUCKETS_BITS
-GRAMS = (3, 4, 5, 6)
+GRAMS = (3, 4, 5)
 DIMENSIONS = 4
 NEUTRAL = 60
 STEP = 4.0
-MAX_ROWS = 6000
+MAX_ROWS = 4000
 THRESHOLD = 0.3
 
 
@@ -87,22 +87,25 @@ def log_odds(weights: np.ndarray, bias: float, data: np.ndarray, offsets: np.nda
 
 # -- training ---------------------------------------------------------------------------------
 
-def bags(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(buckets, their shares, bounds per text): every text as a sparse row."""
+def bags(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(buckets, their counts, bounds per text, subwords per text)."""
     data, offsets = buffers(texts)
-    ids, shares, sizes = [], [], []
+    ids, counts, sizes, lengths = [], [], [], []
     for lo, hi in slices(offsets):
         kinds = list(subwords(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]))
         for i in range(hi - lo):
             all_of = np.concatenate([bucket[cut[i]:cut[i + 1]] for bucket, cut in kinds])
-            distinct, counts = np.unique(all_of, return_counts=True)
+            distinct, times = np.unique(all_of, return_counts=True)
             ids.append(distinct.astype(np.int32))
-            shares.append((counts / (len(all_of) + NEUTRAL)).astype(np.float32))
+            counts.append(np.minimum(times, 65535).astype(np.uint16))
             sizes.append(len(distinct))
-    return np.concatenate(ids), np.concatenate(shares), np.concatenate(([0], np.cumsum(sizes)))
+            lengths.append(len(all_of))
+    bucket = np.concatenate(ids)
+    ids.clear()
+    return bucket, np.concatenate(counts), np.concatenate(([0], np.cumsum(sizes))), np.array(lengths)
 
 
-def train(texts: pa.Array, labels: np.ndarray, rounds: int = 6, batch_rows: int = 192, seed: int = 5) -> dict:
+def train(texts: pa.Array, labels: np.ndarray, rounds: int = 6, batch_rows: int = 128, seed: int = 5) -> dict:
     """{"weights": one number per bucket, "bias", "slope", "shift"} from labelled texts.
 
     ``weights`` is the embedding table times the difference of the two softmax columns: the log-odds
@@ -112,8 +115,8 @@ def train(texts: pa.Array, labels: np.ndarray, rounds: int = 6, batch_rows: int
     share = float(np.clip(labels.mean(), 1e-3, 1 - 1e-3)) if len(labels) else 0.5
     if not len(labels) or labels.min() == labels.max():
         return {"weights": np.zeros(BUCKETS, np.float32), "bias": float(np.log(share / (1 - share))), "slope": 1.0, "shift": 0.0}
-    ids, shares, bounds = bags(texts)
-    shares[np.bincount(ids, minlength=BUCKETS)[ids] < 2] = 0
+    ids, counts, bounds, lengths = bags(texts)
+    seen = np.bincount(ids, minlength=BUCKETS) > 1
     embedding = rng.uniform(-1, 1, (BUCKETS, DIMENSIONS)).astype(np.float32) / DIMENSIONS
     softmax = rng.normal(0, 0.3, (DIMENSIONS, 2)).astype(np.float32)
     offset = np.array([0.0, np.log(share / (1 - share))])
@@ -127,7 +130,8 @@ def train(texts: pa.Array, labels: np.ndarray, rounds: int = 6, batch_rows: int
             size = np.diff(bounds)[batch]
             cut = np.concatenate(([0], np.cumsum(size)))
             at = np.repeat(bounds[batch] - cut[:-1], size) + np.arange(cut[-1])
-            bucket, part = ids[at], shares[at]
+            bucket = ids[at]
+            part = (counts[at] / np.repeat(lengths[batch] + NEUTRAL, size) * seen[bucket]).astype(np.float32)
             mean = np.add.reduceat(embedding[bucket] * part[:, None], cut[:-1], axis=0)
             logits = mean @ softmax + offset
             odds = np.exp(logits - logits.max(axis=1, keepdims=True))
@@ -148,11 +152,11 @@ def train(texts: pa.Array, labels: np.ndarray, rounds: int = 6, batch_rows: int
             offset -= 0.05 * rate * error.sum(axis=0) / np.sqrt(squares_b)
     weights = (embedding @ (softmax[:, 1] - softmax[:, 0])).astype(np.float32)
     # a bucket that no training text holds says nothing
-    weights[np.bincount(ids, shares > 0, minlength=BUCKETS) == 0] = 0
+    weights[~seen] = 0
     bias = float(offset[1] - offset[0])
-    filled = np.flatnonzero(np.diff(bounds) > 0)
-    scores = np.full(len(labels), bias)
-    scores[filled] += np.add.reduceat(weights[ids] * shares, bounds[:-1][filled])
+    scores = np.array([
+        bias + float(weights[ids[lo:hi]] @ counts[lo:hi].astype(np.float32)) / (n + NEUTRAL)
+        for lo, hi, n in zip(bounds[:-1], bounds[1:], lengths)])
     apart = ~fit
     slope, shift = calibrate(scores[apart], labels[apart])
     return {"weights": weights, "bias": bias, "slope": slope, "shift": shift}
