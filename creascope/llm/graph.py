@@ -41,15 +41,16 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
 
 def components_of_buckets(
     members: DataFrame, verify: Callable[[DataFrame], DataFrame], close: Callable[..., Column],
-    private: Callable[[DataFrame], DataFrame] | None = None,
+    private: Callable[[DataFrame], DataFrame] | None = None, fits: Callable[..., Column] | None = None,
 ) -> DataFrame:
     """(node, component) over all linked pairs (x, y) that share a bucket.
 
     ``members`` holds (key, node, size, bits) with distinct (key, node). ``verify`` takes pairs
     (a, b) and returns those that are linked. ``close`` is an exact bound, false only if a pair
     cannot be linked, from (size, common, bits) of either end, ``common`` being the part of the size
-    that any other node has, too; ``private`` counts, for a table of nodes, the elements that none
-    of the others has.
+    that any other node has, too. ``private`` gives, for a table of nodes, (node, private, profile):
+    how many elements none of the others has, and a profile for the second bound ``fits`` on
+    (size, profile) of either end.
 
     No bucket is expanded into all its pairs. Every member is first compared with the centre of
     its bucket, the member with most company over all its buckets: around an original and its
@@ -79,7 +80,7 @@ def components_of_buckets(
     placed = stored(placed.join(main.select("key", F.col("top.component").alias("main")), "key").join(
         heads.select("key", "head"), "key"), "unsettled")
     if private is None:
-        placed = placed.withColumn("common", F.col("size"))
+        placed = placed.withColumn("common", F.col("size")).withColumn("profile", F.lit(0))
     else:
         alone = private(placed.select("node").distinct())
         placed = placed.join(alone, "node", "left").withColumn(
@@ -87,10 +88,12 @@ def components_of_buckets(
     placed = placed.filter("node <> head")
     outside = placed.filter("component <> main").select(
         "key", F.col("node").alias("x"), F.col("size").alias("x_size"), F.col("common").alias("x_common"),
-        F.col("bits").alias("x_bits"), F.col("component").alias("x_component"))
+        F.col("bits").alias("x_bits"), F.col("profile").alias("x_profile"), F.col("component").alias("x_component"))
     # two members outside the main component meet twice; the smaller node's row is enough
+    possible = close(("x_size", "x_common", "x_bits"), ("size", "common", "bits"))
+    if fits is not None:
+        possible = possible & fits(("x_size", "x_profile"), ("size", "profile"))
     pairs = outside.join(placed, "key").filter(
-        "component <> x_component and (component = main or x < node)").filter(
-        close(("x_size", "x_common", "x_bits"), ("size", "common", "bits"))).select(
+        "component <> x_component and (component = main or x < node)").filter(possible).select(
         F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
     return connected_components(first.unionByName(verify(pairs)))

@@ -28,6 +28,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 UNIVERSE_BITS = 18
 BANDS, ROWS = 24, 5  # a pair at Jaccard 0.85 shares no band with a chance of (1 - 0.85**5)**24 < 1e-6
 SEED = 20240601
+PROFILE_BITS = 7
 
 SIGNATURE_SCHEMA = "doc_id long, n_shingles long, set_id binary, bands array<bigint>"
 
@@ -97,6 +98,21 @@ def shingle_rows(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.Recor
                 names=["node", "shingle"])
 
 
+def shingle_profiles(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """(node, profile): how many distinct shingles of a document fall into each of the classes."""
+    for batch in batches:
+        data, offsets = buffers(batch.column(1))
+        for lo, hi in slices(offsets):
+            hashed, bounds = shingles(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], k)
+            rows = [
+                np.bincount((np.unique(hashed[bounds[i]:bounds[i + 1]]) >> np.uint64(64 - PROFILE_BITS)).astype(np.intp),
+                            minlength=1 << PROFILE_BITS) for i in range(hi - lo)]
+            flat = pa.array(np.concatenate(rows).astype(np.int32))
+            ends = pa.array((np.arange(hi - lo + 1) << PROFILE_BITS).astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).slice(lo, hi - lo), pa.ListArray.from_arrays(ends, flat)], names=["node", "profile"])
+
+
 def similar_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """The pairs (a, b) whose full sets pass the Jaccard test."""
     for batch in batches:
@@ -137,7 +153,8 @@ def near_duplicates(
 
     def verify(pairs: DataFrame) -> DataFrame:
         pairs = stored(pairs, "pairs")
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+        ends = pairs.select(F.col("a").alias("doc_id")).distinct().unionByName(
+            pairs.select(F.col("b").alias("doc_id")).distinct()).distinct()
         involved = texts.join(ends, "doc_id", "left_semi")
         full = stored(involved.mapInArrow(lambda b: shingle_sets(b, k), "node long, shingles binary"), "sets")
         full = full.dropDuplicates(["node"])
@@ -156,9 +173,16 @@ def near_duplicates(
         pieces = involved.mapInArrow(lambda b: shingle_rows(b, k), "node long, shingle long")
         once = pieces.groupBy("shingle").agg(
             F.min("node").alias("node"), F.max("node").alias("other")).filter("node = other")
-        return stored(once.groupBy("node").agg(F.count("*").alias("private")), "private")
+        once = once.groupBy("node").agg(F.count("*").alias("private"))
+        profiles = involved.mapInArrow(lambda b: shingle_profiles(b, k), "node long, profile array<int>")
+        return stored(profiles.dropDuplicates(["node"]).join(once, "node", "left"), "private")
+
+    def fits(x: tuple[str, str], y: tuple[str, str]):
+        # shingles can only agree within their class
+        most = F.aggregate(F.zip_with(x[1], y[1], lambda a, b: F.least(a, b)), F.lit(0), lambda total, n: total + n)
+        return 100 * most >= percent * (F.col(x[0]) + F.col(y[0]) - most)
 
-    linked = components_of_buckets(buckets, verify, close, private)
+    linked = components_of_buckets(buckets, verify, close, private, fits)
     found = members.join(linked, "node", "left").select(
         "doc_id", F.coalesce("component", "node").alias("component_id")).distinct()
     return signed_docs.select("doc_id", "n_shingles").join(found, "doc_id", "left").select(
