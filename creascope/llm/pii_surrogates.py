@@ -74,12 +74,13 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
         for match in NUMBERED.finditer(text, start, at):
             kind = next(name for name, _ in PATTERNS if name != "name" and match.group(name) is not None)
             found.append((match.start(), match.end(), kind, canonical(kind, match.group())))
-    numbered = len(found)
+    numbered, named = len(found), 0
     for word in CAPITAL.finditer(text):
-        if word.group() in OPENERS:
+        if word.start() >= named and word.group() in OPENERS:
             match = NAMED.match(text, word.start())
             if match and not any(s < match.end() and match.start() < e for s, e, _, _ in found[:numbered]):
                 found.append((match.start(), match.end(), "name", canonical("name", match.group())))
+                named = match.end()
     return sorted(found) if len(found) > numbered else found
 
 
