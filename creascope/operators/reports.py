@@ -25,9 +25,10 @@ def latest_run(df: DataFrame) -> DataFrame:
 
 
 def latest_of_model(benchmarks: DataFrame, model: str) -> DataFrame:
-    """The newest row of one model."""
+    """The newest row of one model; of equal times the one with the smallest metrics."""
     rows = benchmarks.filter(F.col("model_name") == model)
-    return rows.orderBy(F.desc("run_timestamp")).limit(1)
+    ties = [c for c in ("mae", "rmse", "r2", "mape") if c in rows.columns]
+    return rows.orderBy(F.desc("run_timestamp"), *ties).limit(1)
 
 
 def dashboard_stats(

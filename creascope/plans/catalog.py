@@ -527,7 +527,7 @@ def _matrix(d):
 def ridge_predictions(d):
     """Ridge fit of document quality on length, predicted for every document."""
     model = models.fit_ridge(d.labelled, ["n_chars"], "quality")
-    return model.transform(d.labelled).select("doc_id", "prediction")
+    return model.transform(d.table("documents")).select("doc_id", "prediction")
 
 
 @query

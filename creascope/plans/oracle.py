@@ -379,7 +379,7 @@ HEURISTIC = """SELECT event_id, round(er * 100, 1) + 0.0 AS er_percent, round(er
 
 # One feature on standardised scale: slope = sum(z * (y - mean)) / (n + alpha), alpha = 1.
 RIDGE = f"""SELECT doc_id, {r6('my + (n_chars - mx) / sx * sxy / (n + 1)')} AS prediction
-  FROM labelled, (SELECT n, mx, my, sx, (SELECT sum((l.n_chars - s.mx) / s.sx * (l.quality - s.my)) FROM labelled l) AS sxy
+  FROM documents, (SELECT n, mx, my, sx, (SELECT sum((l.n_chars - s.mx) / s.sx * (l.quality - s.my)) FROM labelled l) AS sxy
     FROM (SELECT count(*) AS n, avg(n_chars) AS mx, avg(quality) AS my, stddev_pop(n_chars) AS sx FROM labelled) s)"""
 
 # The same with two features, per fold: the slopes solve a 2x2 system with c = sum(z1 * z2).

@@ -8,29 +8,30 @@ from creascope.operators import kpi, linking
 SCHEMA = "campaign_id string, game_key string, device_type string, platform_os string, geo_country string, type string"
 
 
+# events per context: (campaign, game key, device, system, country, {type: how many})
+CONTEXTS = [
+    ("spring", "banner/r1", "tablet", "windows", "DE", {"impression": 3, "first_dropped": 1}),
+    ("spring", "banner/r1", "tablet", "linux", "FR", {"impression": 2, "first_dropped": 1, "click-through-event": 1}),
+    ("summer", "video/r2", "desktop", "windows", "DE", {"impression": 2}),
+    ("summer", "video/r2", "desktop", "linux", "DE", {"impression": 1, "first_dropped": 1}),
+    ("summer", "video/r2", None, "linux", "DE", {"impression": 1}),
+    (None, "video/r2", "desktop", "linux", "DE", {"impression": 1}),
+    ("summer", "noslash", "desktop", "linux", "DE", {"impression": 1}),
+    ("winter", "x/y/r3", "desktop", "linux", "DE", {"first_dropped": 1, "swipe": 1, None: 1}),
+]
+
+
 def events(spark):
-    rows = [("camp_01", "slug_1/req_aaa", "smartphone", os, "USA", kind) for os, kind in (
-        ("ios", "impression"), ("ios", "impression"), ("android", "impression"),
-        ("ios", "first_dropped"), ("android", "click-through-event"))]
-    rows += [("camp_02", "slug_2/req_bbb", "smartphone", os, "USA", kind) for os, kind in (
-        ("ios", "impression"), ("android", "impression"), ("ios", "first_dropped"))]
-    rows += [
-        ("camp_02", "slug_2/req_bbb", None, "ios", "USA", "impression"),
-        ("camp_02", "noslash", "smartphone", "ios", "USA", "impression"),
-        (None, "slug_2/req_bbb", "smartphone", "ios", "USA", "impression"),
-        ("camp_03", "x/y/req_ccc", "smartphone", "ios", "USA", "first_dropped"),
-        ("camp_03", "x/y/req_ccc", "smartphone", "ios", "USA", "swipe"),
-        ("camp_03", "x/y/req_ccc", "smartphone", "ios", "USA", None),
-    ]
-    return spark.createDataFrame(rows, SCHEMA)
+    return spark.createDataFrame(
+        [(*context, kind) for *context, kinds in CONTEXTS for kind, n in kinds.items() for _ in range(n)], SCHEMA)
 
 
 def test_rates_lie_between_0_and_1(spark):
     rows = kpi.creative_kpis(events(spark), min_impressions=1).collect()
     assert rows and all(0 <= r[c] <= 1 for r in rows for c in ("engagement_rate", "click_through_rate"))
-    first = [r for r in rows if r.campaign_id == "camp_01" and r.game_key == "slug_1/req_aaa"]
+    first = [r for r in rows if r.campaign_id == "spring" and r.game_key == "banner/r1"]
     assert max(r.engagement_rate for r in first) == 0.5
-    assert {(r.creative_slug, r.creative_request_id) for r in first} == {("slug_1", "req_aaa")}
+    assert {(r.creative_slug, r.creative_request_id) for r in first} == {("banner", "r1")}
 
 
 def test_minimum_impressions(spark):
@@ -42,9 +43,9 @@ def test_null_keys(spark):
     dropped = kpi.creative_kpis(events(spark), min_impressions=0).collect()
     kept = kpi.creative_kpis(events(spark), min_impressions=0, drop_null_keys=False, clipped=False).collect()
     assert len(kept) - len(dropped) == 3
-    zero = next(r for r in dropped if r.campaign_id == "camp_03")
+    zero = next(r for r in dropped if r.campaign_id == "winter")
     assert (zero.n_impressions, zero.n_engagements, zero.engagement_rate) == (0, 1, None)
-    assert (zero.creative_slug, zero.creative_request_id) == ("x/y", "req_ccc")
+    assert (zero.creative_slug, zero.creative_request_id) == ("x/y", "r3")
 
 
 @pytest.mark.parametrize("keep", [["swipe"], "all"])
@@ -66,23 +67,23 @@ def test_missing_context_columns_are_not_grouped_by(spark):
 
 def test_warehouse_metrics(spark):
     inventory = events(spark)
-    creatives = spark.createDataFrame([("slug_2/req_bbb",)], "game_key string")
+    creatives = spark.createDataFrame([("video/r2",)], "game_key string")
     rows = kpi.creative_metrics(inventory, creatives).collect()
-    assert {r.game_key for r in rows} == {"slug_2/req_bbb"} and len(rows) == 3
+    assert {r.game_key for r in rows} == {"video/r2"} and len(rows) == 3
     assert any(r.device_type is None for r in rows)
-    unfiltered = kpi.creative_metrics(inventory).filter("campaign_id = 'camp_03'").first()
+    unfiltered = kpi.creative_metrics(inventory).filter("campaign_id = 'winter'").first()
     assert unfiltered.engagement_rate is None
 
 
 def test_campaign_kpis_do_not_carry_over(spark):
     rows = {r.campaign_id: r for r in kpi.campaign_kpis(events(spark)).collect()}
-    assert rows["camp_01"].ER == pytest.approx(100 / 3) and rows["camp_01"].CTR == pytest.approx(100 / 3)
-    assert rows["camp_02"].CTR == 0.0 and rows["camp_03"].ER is None
+    assert (rows["spring"].ER, rows["spring"].CTR) == pytest.approx((40.0, 20.0))
+    assert rows["summer"].CTR == 0.0 and rows["winter"].ER is None
 
 
 def test_value_counts(spark):
     top = kpi.value_counts(events(spark), "game_key", 2).collect()
-    assert [tuple(r) for r in top] == [("slug_1/req_aaa", 5), ("slug_2/req_bbb", 5)]
+    assert [tuple(r) for r in top] == [("banner/r1", 8), ("video/r2", 6)]
 
 
 BRIEFING = "campaign_id string, submission_date string, n int, startdate string, enddate string, buy_rate_cpe string, kpis string"
@@ -108,20 +109,20 @@ def test_latest_submission_wins(briefing):
 
 def design(spark):
     return spark.createDataFrame(
-        [("k1", "req_aaa", "up", 2.0), ("k2", "req_aaa", "left", 3.0)],
+        [("k1", "r1", "up", 2.0), ("k2", "r1", "left", 3.0)],
         "md5_game_key string, request_id string, interaction_direction string, aspect_ratio double")
 
 
 def test_link_keeps_rows_and_fans_out(spark, briefing):
     kpis = kpi.creative_kpis(events(spark), min_impressions=1)
-    campaigns = linking.clean_briefing(briefing, tie=["n"]).withColumn("campaign_id", F.lit("camp_01"))
+    campaigns = linking.clean_briefing(briefing, tie=["n"]).withColumn("campaign_id", F.lit("spring"))
     campaigns = campaigns.filter("kpis = 'new'")
     linked = linking.link(kpis, design(spark), campaigns)
-    # the two camp_01 rows match two design records each, the others none
+    # the two spring rows match two design records each, the others none
     assert linked.count() == kpis.count() + 2
-    row = linked.filter("campaign_id = 'camp_01'").first()
-    assert row.campaign_duration_days == 0 and row.image_filename == "slug_1-req_aaa.png"
-    assert linked.filter("campaign_id = 'camp_02' and md5_game_key is not null").isEmpty()
+    row = linked.filter("campaign_id = 'spring'").first()
+    assert row.campaign_duration_days == 0 and row.image_filename == "banner-r1.png"
+    assert linked.filter("campaign_id = 'summer' and md5_game_key is not null").isEmpty()
 
 
 def test_image_columns_do_not_replace_design_columns(spark):
@@ -135,14 +136,14 @@ def test_image_columns_do_not_replace_design_columns(spark):
 
 def test_creatives_take_video_from_design(spark):
     vision = spark.createDataFrame(
-        [("slug_1-req_aaa.png", 1.0, 0.2, 0.1, 0.1, 3.0, 0.5, 1.0, 0.0)],
+        [("banner-r1.png", 1.0, 0.2, 0.1, 0.1, 3.0, 0.5, 1.0, 0.0)],
         "filename string, aspect_ratio double, brightness_mean double, saturation_mean double, colorfulness double, "
         "visual_entropy double, color_diversity_score double, is_dark_background double, is_light_background double")
-    videos = spark.createDataFrame([("req_aaa", 1), ("req_aaa", 0)], "request_id string, has_video int")
+    videos = spark.createDataFrame([("r1", 1), ("r1", 0)], "request_id string, has_video int")
     rows = {r.game_key: r for r in linking.creatives(events(spark), vision, videos).collect()}
-    assert set(rows) == {"slug_1/req_aaa", "slug_2/req_bbb", "x/y/req_ccc"}
-    assert (rows["slug_1/req_aaa"].has_video, rows["slug_1/req_aaa"].is_dark_background) == (True, True)
-    assert (rows["x/y/req_ccc"].has_video, rows["x/y/req_ccc"].brightness_mean) == (False, 0.0)
+    assert set(rows) == {"banner/r1", "video/r2", "x/y/r3"}
+    assert (rows["banner/r1"].has_video, rows["banner/r1"].is_dark_background) == (True, True)
+    assert (rows["x/y/r3"].has_video, rows["x/y/r3"].brightness_mean) == (False, 0.0)
     plain = linking.creatives(events(spark), vision).filter("has_video")
     assert plain.isEmpty()
     blind = linking.creatives(events(spark), None)
@@ -163,7 +164,7 @@ def test_reports_on_joins(spark):
     right = spark.createDataFrame([("a",), ("c",)], "key string")
     assert tuple(linking.key_overlap(left, right, "key").first()) == (2, 2, 1)
     assert [r.key for r in linking.orphans(left, right, "key").collect()] == ["b"]
-    images = spark.createDataFrame([("f1", "req_aaa"), ("f2", None)], "filename string, request_id string")
+    images = spark.createDataFrame([("f1", "r1"), ("f2", None)], "filename string, request_id string")
     joined = linking.resolve_images(images, design(spark))
     assert joined.count() == 3
     assert tuple(linking.match_rate(joined, "md5_game_key").first())[:2] == (2, 3)

@@ -29,10 +29,10 @@ def solid(width, height, color):
 
 NOISE = np.random.default_rng(11).integers(0, 256, (40, 30, 3), dtype=np.uint8)
 IMAGES = {
-    "adunit-red-mob-00000000000000000001": solid(224, 224, (255, 0, 0)),
-    "adunit-dark-mpu-00000000000000000002": solid(224, 224, (10, 10, 10)),
-    "adunit-white-tap-00000000000000000003": solid(224, 224, (255, 255, 255)),
-    "adunit-tall-bio-00000000000000000004": solid(320, 480, (128, 128, 128)),
+    "adunit-blue-mob-00000000000000000001": solid(60, 60, (0, 0, 255)),
+    "adunit-night-mpu-00000000000000000002": solid(72, 48, (12, 20, 31)),
+    "adunit-snow-tap-00000000000000000003": solid(48, 72, (255, 255, 255)),
+    "adunit-strip-bio-00000000000000000004": solid(30, 120, (90, 140, 60)),
     "adunit-noise": NOISE,
     "adunit-odd name+50%": solid(4, 4, (255, 255, 255)),
     "adunit-alpha": np.dstack([NOISE, np.full((40, 30), 7, np.uint8)]),
@@ -63,14 +63,14 @@ def test_all_measures_are_floats(measured):
 
 
 def test_aspect_and_size(measured):
-    assert measured["red"].aspect_ratio == 1.0
-    assert measured["tall"].aspect_ratio == pytest.approx(320 / 480)
-    assert (measured["tall"].image_width, measured["tall"].image_height) == (320.0, 480.0)
+    assert measured["blue"].aspect_ratio == 1.0
+    assert measured["strip"].aspect_ratio == pytest.approx(30 / 120)
+    assert (measured["strip"].image_width, measured["strip"].image_height) == (30.0, 120.0)
 
 
 def test_flags(measured):
-    assert (measured["dark"].is_dark_background, measured["dark"].is_light_background) == (1.0, 0.0)
-    assert (measured["white"].is_dark_background, measured["white"].is_light_background) == (0.0, 1.0)
+    assert (measured["night"].is_dark_background, measured["night"].is_light_background) == (1.0, 0.0)
+    assert (measured["snow"].is_dark_background, measured["snow"].is_light_background) == (0.0, 1.0)
 
 
 def test_ranges(measured):
@@ -79,11 +79,11 @@ def test_ranges(measured):
         assert row.visual_entropy >= -1e-6
 
 
-def test_solid_red(measured):
-    red = measured["red"]
-    assert red.brightness_mean == pytest.approx(0.2126) and red.saturation_mean == 1.0
-    assert red.colorfulness == pytest.approx(0.3 * np.sqrt(1 + 0.25))
-    assert red.color_diversity_score == 1 / 64
+def test_solid_blue(measured):
+    blue = measured["blue"]
+    assert blue.brightness_mean == pytest.approx(0.0722) and blue.saturation_mean == 1.0
+    assert blue.colorfulness == pytest.approx(0.3)
+    assert blue.color_diversity_score == 1 / 64
 
 
 def test_unreadable_file_gets_defaults(measured):
@@ -107,10 +107,10 @@ def test_noise_against_direct_formulas(measured):
 
 
 def test_pixel_table_gives_the_same_measures(spark, measured):
-    rows = [("noise", *map(int, p)) for p in NOISE.reshape(-1, 3)] + [("red", 255, 0, 0)] * 50
+    rows = [("noise", *map(int, p)) for p in NOISE.reshape(-1, 3)] + [("blue", 0, 0, 255)] * 50
     table = spark.createDataFrame(rows, "filename string, r int, g int, b int")
     got = {r.filename: r for r in vision.pixel_features(table).collect()}
-    for name in ("noise", "red"):
+    for name in ("noise", "blue"):
         for m in ("brightness_mean", "saturation_mean", "colorfulness", "visual_entropy"):
             assert got[name][m] == pytest.approx(measured[name][m], abs=1e-8), m
     buckets = {tuple(np.minimum(p.astype(int) * 4 // 255, 3)) for p in NOISE.reshape(-1, 3)}
@@ -165,8 +165,8 @@ def test_resize_against_sample_by_sample_loops(method, kernel, support, shape):
 def test_registry(spark, folder):
     rows = {r.filename: r for r in scan_assets(spark, folder).collect()}
     assert len(rows) == 8
-    red = rows["adunit-red-mob-00000000000000000001.png"]
-    assert (red.slug, red.request_id, red.placement_type) == ("adunit-red-mob", "00000000000000000001", "mobile")
+    blue = rows["adunit-blue-mob-00000000000000000001.png"]
+    assert (blue.slug, blue.request_id, blue.placement_type) == ("adunit-blue-mob", "00000000000000000001", "mobile")
     assert rows["adunit-noise.png"].request_id is None
     assert rows["adunit-broken.png"].file_size_kb == 0.01
 
@@ -184,7 +184,7 @@ def test_embedding_uses_zero_input_for_broken_images(spark, folder):
     rows = {r.origin.rsplit("/", 1)[1]: r.embedding for r in embedded.collect()}
     assert rows["adunit-broken.png"] == [0.0, 0.0, 0.0]
     expected = (1.0 - np.array(px.CHANNEL_MEAN)) / np.array(px.CHANNEL_STD)
-    assert rows["adunit-white-tap-00000000000000000003.png"] == pytest.approx(list(expected), abs=1e-5)
+    assert rows["adunit-snow-tap-00000000000000000003.png"] == pytest.approx(list(expected), abs=1e-5)
 
 
 def test_standardize(spark):
@@ -227,9 +227,9 @@ def test_vision_stage_has_one_row_per_file(spark, folder, model):
     rows = {r.filename: r for r in table.collect()}
     assert len(rows) == 8 and len(set(table.columns)) == len(table.columns)
     assert rows["adunit-broken.png"].brightness_mean == 0.5
-    for name in ("adunit-white-tap-00000000000000000003.png", "adunit-odd name+50%.png"):
+    for name in ("adunit-snow-tap-00000000000000000003.png", "adunit-odd name+50%.png"):
         assert rows[name].brightness_mean == pytest.approx(1.0)
-    assert rows["adunit-tall-bio-00000000000000000004.png"].image_height == 480.0
+    assert rows["adunit-strip-bio-00000000000000000004.png"].image_height == 120.0
     components = np.array([[r.vision_pca_0, r.vision_pca_1] for r in rows.values()], dtype=float)
     assert np.isfinite(components).all()
     assert (components == 0).all() == (model is None)
