@@ -2,52 +2,46 @@
 
 from __future__ import annotations
 
-import heapq
+from pyspark.sql import DataFrame, Window, functions as F
 
-from pyspark.sql import DataFrame, functions as F
-
-# Groups placed one by one on the driver; the smaller groups behind them are hashed.
-MAX_PLACED_GROUPS = 100_000
+# Hex digits of a key's digest that part groups of equal size: 4096 windows per size.
+DIGITS = 3
 
 
 def hash_fold(column: str, k: int):
     return F.pmod(F.xxhash64(column), F.lit(k)).cast("int")
 
 
-def group_folds(df: DataFrame, group: str, k: int = 5, max_placed: int = MAX_PLACED_GROUPS) -> DataFrame:
-    """(group, fold) for the largest ``max_placed`` groups.
+def group_folds(df: DataFrame, group: str, k: int = 5) -> DataFrame:
+    """(group, fold) for every group, NULL included.
 
-    Groups go, largest first and then by key, to the fold with the fewest rows so far (lowest
-    number on ties). The driver sees one count per group and never more than ``max_placed``.
-    """
-    spark = df.sparkSession
-    sizes = df.groupBy(group).agg(F.count("*").alias("n"))
-    largest = sizes.orderBy(F.desc("n"), F.asc(group)).limit(max_placed)
-    loads = [(0, fold) for fold in range(k)]
-    placed = []
-    for key, size in largest.toLocalIterator():
-        load, fold = heapq.heappop(loads)
-        heapq.heappush(loads, (load + size, fold))
-        placed.append((key, fold))
-    key_type = df.schema[group].dataType.simpleString()
-    return spark.createDataFrame(placed, f"`{group}` {key_type}, fold int")
-
-
-def assign_group_folds(
-    df: DataFrame,
-    group: str,
-    k: int = 5,
-    method: str = "balanced",
-    max_placed: int = MAX_PLACED_GROUPS,
-) -> DataFrame:
-    """Add ``fold`` in 0..k-1.
-
-    ``balanced`` places groups by size; past ``max_placed`` groups the remaining small ones
-    are spread by hash, which needs no per-group state. ``hash`` does so for every group.
+    Groups are ranked by size, largest first, then by three digits of the key's MD5 digest, then by
+    key, and dealt to the folds 0 to k-1, k-1 to 0 and so on; folds differ by at most the largest
+    group. The rank adds up what comes before a size, before the digits within it, and within
+    these, so no task orders all groups; one task adds up the distinct sizes, of which n rows
+    have at most sqrt(2 n).
     """
+    sizes = df.groupBy(F.col(group).alias("_group")).agg(F.count("*").alias("_n"))
+    digits = F.substring(F.md5(F.col("_group").cast("string").cast("binary")), 1, DIGITS)
+    sizes = sizes.withColumn("_digits", F.coalesce(digits, F.lit("")))
+    counted = sizes.groupBy("_n", "_digits").agg(F.count("*").alias("_m"))
+
+    def before(total: str, window):
+        return F.coalesce(F.sum(total).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    larger = counted.groupBy("_n").agg(F.sum("_m").alias("_m")).select(
+        "_n", before("_m", Window.orderBy(F.desc("_n"))).alias("_larger"))
+    earlier = counted.select("_n", "_digits", before("_m", Window.partitionBy("_n").orderBy("_digits")).alias("_earlier"))
+    within = F.row_number().over(Window.partitionBy("_n", "_digits").orderBy("_group")) - 1
+    turn = F.pmod(F.col("_larger") + F.col("_earlier") + F.col("_within"), F.lit(2 * k))
+    ranked = sizes.withColumn("_within", within).join(earlier, ["_n", "_digits"]).join(larger, "_n")
+    return ranked.select(
+        F.col("_group").alias(group), F.when(turn < k, turn).otherwise(2 * k - 1 - turn).cast("int").alias("fold"))
+
+
+def assign_group_folds(df: DataFrame, group: str, k: int = 5, method: str = "balanced") -> DataFrame:
+    """Add ``fold`` in 0..k-1: ``balanced`` deals groups by size, ``hash`` needs no state per group."""
     if method == "hash":
         return df.withColumn("fold", hash_fold(group, k))
-    placed = group_folds(df, group, k, max_placed)
-    # at most max_placed rows of (key, int)
-    joined = df.join(F.broadcast(placed), group, "left")
-    return joined.withColumn("fold", F.coalesce("fold", hash_fold(group, k)))
+    placed = group_folds(df, group, k).withColumnRenamed(group, "_group")
+    return df.join(placed, F.col(group).eqNullSafe(F.col("_group"))).drop("_group")

@@ -45,18 +45,13 @@ def days(start: str, end: str) -> str:
 
 
 def balanced_folds(sizes: str, k: int = 5) -> str:
-    """Recursive placement of groups (grp, n) from a size-ordered list into the lightest fold."""
+    """Groups (grp, n) dealt to and fro over the folds, largest first."""
     return f"""
-ordered AS (
-  SELECT grp, n, row_number() OVER (ORDER BY n DESC, grp) AS pos FROM ({sizes})),
-steps AS (
-  SELECT CAST(0 AS BIGINT) AS pos, [CAST(0 AS BIGINT) FOR x IN range({k})] AS loads, -1 AS fold
-  UNION ALL
-  SELECT pos, [loads[i + 1] + CASE WHEN i = fold THEN n ELSE 0 END FOR i IN range({k})], fold
-  FROM (SELECT o.pos, o.n, p.loads, CAST(list_position(p.loads, list_min(p.loads)) - 1 AS INTEGER) AS fold
-        FROM steps p JOIN ordered o ON o.pos = p.pos + 1)),
+turns AS (
+  SELECT grp, n, (row_number() OVER (
+    ORDER BY n DESC, substr(md5(CAST(grp AS VARCHAR)), 1, 3), grp) - 1) % {2 * k} AS turn FROM ({sizes})),
 folds AS (
-  SELECT o.grp, o.n, p.fold FROM steps p JOIN ordered o USING (pos))"""
+  SELECT grp, n, CAST(CASE WHEN turn < {k} THEN turn ELSE {2 * k - 1} - turn END AS INTEGER) AS fold FROM turns)"""
 
 
 PIXEL = "CAST(floor(least(1.0, greatest(0.0, (CAST(embedding[3 * p + {i}] AS DOUBLE) + 0.6) / 1.2)) * 255) AS INTEGER)"
@@ -269,8 +264,7 @@ def sql(final: str, folds: str = "") -> str:
         parts.append(folds.strip())
     if "baseline_oof" in needed:
         parts.append(f"baseline_oof AS ({CTES['baseline_oof']}\n)")
-    head = "WITH RECURSIVE " if folds else "WITH "
-    return (head + ",\n".join(parts) + "\n" if parts else "") + final
+    return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + final
 
 
 def metric_columns(source: str, by: str) -> str:
