@@ -98,7 +98,10 @@ def creatives(
     """
     joined = creative_keys(events)
     if vision is not None:
-        images = first_per_key(vision, ["filename"], [F.asc(name) for name in vision_order]).select(
+        # columns first: only these are scanned and compared
+        needed = dict.fromkeys(["filename", *vision_order, *CREATIVE_MEASURES, *CREATIVE_FLAGS])
+        images = first_per_key(
+            vision.select(*needed), ["filename"], [F.asc(name) for name in vision_order]).select(
             F.col("filename").alias("image_filename"), *CREATIVE_MEASURES, *CREATIVE_FLAGS)
         joined = joined.join(images, "image_filename", "left")
     else:

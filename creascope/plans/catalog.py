@@ -173,7 +173,8 @@ def vision_join(d):
 @query
 def linked_from_warehouse(d):
     """The linked table read from metrics, creatives, campaigns and design."""
-    return linking.linked_from_tables(d.metrics, d.creatives, d.campaigns, d.design).orderBy(
+    return linking.linked_from_tables(
+        d.metrics, linking.creative_keys(d.counts), d.campaigns, d.design).orderBy(
         "campaign_id", "game_key")
 
 
@@ -313,8 +314,9 @@ def top_features_15(d):
 
 @query
 def dashboard_stats(d):
-    """Dashboard totals."""
-    return reports.dashboard_stats(d.metrics, d.creatives, d.campaigns, d.benchmarks)
+    """Dashboard totals; the dimensions are counted by their keys, without their context."""
+    known = d.raw_briefing.select("campaign_id").filter("campaign_id is not null").distinct()
+    return reports.dashboard_stats(d.metrics, linking.creative_keys(d.counts), known, d.benchmarks)
 
 
 @query

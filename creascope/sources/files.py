@@ -13,19 +13,20 @@ from creascope.functions.columns import normalize_columns
 from creascope.operators.design import design_records
 
 
-def read_csv(spark: SparkSession, path, names: str = "strict") -> DataFrame:
+def read_csv(spark: SparkSession, path, names: str = "strict", multiline: bool = False) -> DataFrame:
     """CSV with a header: normalised names, all columns text, missing markers as NULL.
 
-    Only the header is read up front; the files stay splittable.
+    Only the header is read up front. Files stay splittable, which asks for one record per line;
+    ``multiline`` allows line breaks inside quotes and reads each file in one task.
     """
-    raw = spark.read.option("header", True).option("escape", '"').csv(path)
+    raw = spark.read.options(header=True, escape='"', multiLine=multiline).csv(path)
     raw = normalize_columns(raw, names)
     return raw.select([missing_to_null(F.col(name)).alias(name) for name in raw.columns])
 
 
 def read_briefing(spark: SparkSession, path) -> DataFrame:
-    """Raw briefing rows; see ``clean_briefing``."""
-    return read_csv(spark, path)
+    """Raw briefing rows, free text with line breaks included; see ``clean_briefing``."""
+    return read_csv(spark, path, multiline=True)
 
 
 def clean_inventory(df: DataFrame) -> DataFrame:

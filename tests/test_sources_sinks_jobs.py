@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from creascope.operators import models, reports
 from creascope.plans import jobs
 from creascope.plans.binding import Domain
+from creascope.plans.catalog import QUERIES
 from creascope.sinks import tables
 from creascope.sources import files
 
@@ -30,6 +31,18 @@ def test_briefing_from_csv(spark, tmp_path):
     assert (row.campaign_id, row.buy_rate_cpe, row.startdate) == ("c1", 0.4, dt.datetime(2021, 6, 5))
 
 
+def test_briefing_with_line_breaks(spark, tmp_path):
+    (tmp_path / "briefing.csv").write_text('Campaign_ID,KPIs\nc1,"reach\nand ""recall"""\nc2,clicks\n')
+    rows = files.read_briefing(spark, str(tmp_path / "briefing.csv")).collect()
+    assert [tuple(r) for r in rows] == [("c1", 'reach\nand "recall"'), ("c2", "clicks")]
+
+
+@pytest.mark.parametrize("name", ["linked_from_warehouse", "dashboard_stats"])
+def test_warehouse_reports_leave_the_images_alone(spark, name):
+    plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    assert "n_impressions" in plan and "embedding" not in plan
+
+
 def test_palette(spark, tmp_path):
     record = {"text": {"engagement": ["A"], "click_through": {"(0, 0, 0)": 0.5}},
               "colors": {"engagement": {"(80, 96, 115)": 0.25, "(0, 0, 0)": 0.5}, "click_through": {"(1, 2, 3)": 0.1}},
