@@ -60,7 +60,8 @@ def components_of_buckets(
     After that every pair of every bucket is connected, excluded by the bound, or tested.
     """
     members = members.select("key", "node", "size", "bits")
-    counts = members.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    # most members are alone; stored, so that the join knows how few keys are left
+    counts = stored(members.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "keys")
     shared = stored(members.join(counts, "key"), "shared")
     company = shared.groupBy("node").agg(F.sum("n").alias("company"))
     heads = shared.join(company, "node").groupBy("key").agg(
@@ -96,4 +97,5 @@ def components_of_buckets(
     pairs = outside.join(placed, "key").filter(
         "component <> x_component and (component = main or x < node)").filter(possible).select(
         F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
-    return connected_components(first.unionByName(verify(pairs)))
+    # the components found so far stand for the first links
+    return connected_components(joined.toDF("a", "b").unionByName(verify(pairs)))
