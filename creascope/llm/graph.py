@@ -9,34 +9,37 @@ from pyspark.sql import Column, DataFrame, functions as F
 from creascope.llm.common import stored
 
 
+def settled(edges: DataFrame) -> bool:
+    """Whether the edges (u > v) are stars: no node has two smaller ends, none is both leaf and centre."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("leaf"), F.lit(0).alias("centre")).unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("leaf"), F.lit(1).alias("centre")))
+    mixed = ends.groupBy("node").agg(F.sum("leaf").alias("leaf"), F.max("centre").alias("centre"))
+    return mixed.agg(F.count_if(F.col("leaf") + F.col("centre") > 1)).first()[0] == 0
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): the smallest node reachable, for every node that has an edge.
 
     Alternating large-star and small-star steps, each a minimum per node followed by a join, so
     a node with very many links sends one row per task and its joined rows can be split. The
-    edge table is stored after each round; the loop ends when a round changes nothing.
+    edge table is stored after each round; the loop ends when it consists of stars, whose centres
+    are the smallest nodes.
     """
     undirected = edges.select(
         F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct()
-    current, before = stored(undirected, "edges"), None
-    while True:
+    current = stored(undirected, "edges")
+    while not settled(current):
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         lowest = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        # large star: every larger neighbour is linked to the smallest node around
-        large = both.join(lowest, "u").filter("v > u").select(
-            F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        # large star: every larger neighbour is linked to the smallest node around, a row per edge
+        large = both.join(lowest, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         # small star: the smaller neighbours, too
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         step = small.filter("u <> v").unionByName(least.select("u", F.col("m").alias("v"))).distinct()
         current = stored(step, "edges")
-        state = current.agg(
-            F.count("*").alias("n"),
-            F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
-        if state == before:
-            return current.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
-                current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
-        before = state
+    return current.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
+        current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
 def components_of_buckets(

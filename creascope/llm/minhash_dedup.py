@@ -143,13 +143,12 @@ def near_duplicates(
     signed_docs = stored(texts.mapInArrow(lambda b: signatures(b, k, bands, rows), SIGNATURE_SCHEMA), "signatures")
 
     known = signed_docs.filter("doc_id is not null and n_shingles > 0")
-    classes = known.groupBy("set_id").agg(F.min("doc_id").alias("node"))
-    members = stored(known.select("doc_id", "set_id").join(classes, "set_id").select("doc_id", "node"), "members")
+    classes = stored(known.groupBy("set_id").agg(
+        F.min("doc_id").alias("node"), F.first("n_shingles").alias("size"), F.first("bands").alias("bands")), "classes")
+    members = known.select("doc_id", "set_id").join(classes.select("set_id", "node"), "set_id").select("doc_id", "node")
 
-    nodes = known.join(members.filter("doc_id = node").select("doc_id").distinct(), "doc_id").dropDuplicates(["doc_id"])
-    buckets = nodes.select(
-        F.col("doc_id").alias("node"), F.col("n_shingles").alias("size"), F.lit(0).alias("bits"),
-        F.explode("bands").alias("key"))
+    buckets = classes.dropDuplicates(["node"]).select(
+        "node", "size", F.lit(0).alias("bits"), F.explode("bands").alias("key"))
 
     def verify(pairs: DataFrame) -> DataFrame:
         pairs = stored(pairs, "pairs")
