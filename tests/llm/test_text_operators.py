@@ -192,6 +192,21 @@ def test_fuzzy_lines(spark, odd, nothing):
     assert line_dedup.fuzzy_lines(nothing).count() == 0 and line_dedup.fuzzy_lines(odd).count() > 0
 
 
+def test_fuzzy_lines_link_small_edits(spark):
+    """One changed word or typo in lines of 4 to 200 words; two of five words changed is too much."""
+    docs, wanted = [], {}
+    for i, n in enumerate((4, 10, 11, 12, 20, 40, 80, 200)):
+        line = words(n, 100 + i).split()
+        typo = [*line[:1], line[1][:2] + "z" + line[1][3:], *line[2:]]
+        docs.append((2 * i, " ".join(line)))
+        docs.append((2 * i + 1, " ".join(typo if n < 20 else [*line[:n // 2], "zzzzz", *line[n // 2 + 1:]])))
+        wanted[2 * i], wanted[2 * i + 1] = True, False
+    far = words(5, 90).split()
+    docs += [(90, " ".join(far)), (91, " ".join([*far[:3], "zzzzz", "yyyyy"]))]
+    found = line_dedup.fuzzy_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["kept"] for r in found} == {**wanted, 90: True, 91: True}
+
+
 def test_toxicity_learns_subwords(spark, odd, nothing):
     rng = random.Random(8)
     texts, labels = [], []
