@@ -56,7 +56,8 @@ NUMBERED = re.compile("|".join(f"(?P<{name}>{pattern})" for name, pattern in PAT
 NAMED = re.compile(dict(PATTERNS)["name"])
 # where an entity can be: a sign that addresses and numbers have, or a capital word
 SIGN = re.compile(r"[@\d]")
-REST = re.compile(r"\S*(?:[ \t]\(?\S*?\d\S*)*")
+# the words that can go on with an entity: those with a digit, and an IBAN's groups of capitals
+REST = re.compile(r"\S*(?:[ \t]\(?\S*?\d\S*| [A-Z]+(?![0-9A-Za-z])\S*)*")
 CAPITAL = re.compile(r"(?<!\w)[A-ZА-Я]\w+")
 OPENERS = frozenset([*TITLES, *_given])
 
@@ -64,8 +65,8 @@ OPENERS = frozenset([*TITLES, *_given])
 def entities(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, type, canonical form) from left to right, without overlaps.
 
-    Only the words around a digit or an at sign, and capital words that can open a name, are
-    matched against the patterns.
+    Only the words around a digit or an at sign with the words of capitals after them, and capital
+    words that can open a name, are matched against the patterns; this loses no match.
     """
     found, at = [], 0
     while sign := SIGN.search(text, at):
