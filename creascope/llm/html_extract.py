@@ -2,10 +2,12 @@
 
 A page is cut into blocks (headings, paragraphs, list items, cells). Markup, scripts and comments go,
 and blocks inside navigation, headers, footers, side columns, adverts, notices, forms and reader
-comments, or made up of links, count as empty lines. The text length over a sliding window of
-``WINDOW`` lines then has a surge where the main text begins and a dive, a window without text, where
-it ends. The stretch between the two with the most text is kept. Where a page marks its
-article, the lines outside it are empty too, and all of its own lines belong to the text.
+comments, or made up of links, are set aside. Every line weighs its text, a line set aside lacks its
+share of ``SURGE``, the text of a window of ``WINDOW`` lines where main text begins. The weights are
+summed over sliding windows; the main text surges where these sums grow and dives where they lack more
+than the text behind gives: it is the run of windows with the largest total, so an advert inside it
+does not end it. Where a page marks its article, that bounds the text: the lines outside are dropped,
+and lines set aside inside it weigh nothing.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 WINDOW = 3
-SURGE = 80  # characters in a window, or the fullest window of a page that has fewer
+SURGE = 80  # characters in a window
 
 # Element and class names that have a fixed meaning in web pages.
 BLOCKS = frozenset(
@@ -141,24 +143,19 @@ def main_text(page: str | None) -> str:
         return ""
     lines = lines_of(page)
     if any(article and not aside for _, aside, article in lines):
-        return "\n".join(text for text, aside, article in lines if article and not aside)
-    sizes = [0 if aside else len(text) for text, aside, _ in lines]
-    sums = [sum(sizes[i:i + WINDOW]) for i in range(len(sizes))]
-    if not sums or not max(sums):
+        lines = [line for line in lines if line[2] and not line[1]]
+    # windows reach over both ends; entry i is the window that ends at line i
+    weights = [-SURGE / WINDOW if aside else len(text) for text, aside, _ in lines] + [0] * (WINDOW - 1)
+    best, total, start = (0, 0, 0), 0, 0
+    for end in range(len(weights)):
+        if total < 0:
+            total, start = 0, end
+        total += sum(weights[max(0, end - WINDOW + 1):end + 1])
+        best = max(best, (total, -start, end))
+    total, start, dive = best
+    if not total:
         return ""
-    surge = min(SURGE, max(sums))
-    best, at = (0, 0, 0), 0
-    while at < len(sums):
-        if sums[at] < surge or not sizes[at]:
-            at += 1
-            continue
-        dive = at
-        while dive < len(sums) and sums[dive]:
-            dive += 1
-        best = max(best, (sum(sizes[at:dive]), -at, dive))
-        at = dive
-    _, start, dive = best
-    return "\n".join(lines[i][0] for i in range(-start, dive) if sizes[i])
+    return "\n".join(text for text, aside, _ in lines[max(0, -start - WINDOW + 1):dive + 1] if not aside)
 
 
 def extract_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -193,6 +193,19 @@ def test_main_text(spark):
     assert {r["page_id"]: r["n_chars"] for r in html_extract.main_texts(rows).collect()}[None] == 0
 
 
+def test_main_text_of_unmarked_pages():
+    """Adverts inside the text do not end it, a title and a short lead belong to it, far boilerplate does not."""
+    one, two = words(60, 31), words(60, 32)
+    advert = '<div class="ad"><p>Buy</p><p>it</p><p>now</p><p>cheap</p></div>'
+    menu = "<nav>" + "".join(f'<li><a href="/{i}">Part {i}</a></li>' for i in range(12)) + "</nav>"
+    page = (f"{menu}<h1>Title</h1><p>Lead</p><p>By me</p><p>{one}</p>{advert}<p>{two}</p><ul><li>a<li>b<li>c<li>d</ul>{menu}"
+            "<p>All rights</p>")
+    wanted = f"Title\nLead\nBy me\n{one}\n{two}\na\nb\nc\nd"
+    assert html_extract.main_text(page) == wanted
+    bare = "<nav>x</nav><footer>y</footer>"
+    assert html_extract.main_text(bare) == ""
+
+
 def test_fuzzy_lines(spark, odd, nothing):
     line = words(60, 21)
     docs = spark.createDataFrame(
