@@ -4,8 +4,11 @@ The corpus is reduced to one row per cell (source, language, topic) with its tok
 multiplies the cells' weights by one factor per source, language and topic in turn until the weighted
 tokens have the target shares in all three margins. A document's sampling probability is its cell's
 weight, scaled so that the expected sample has the share ``keep`` of all tokens. A cell whose weight
-asks for more than it has is taken whole, and the others make up for it. Documents are drawn by a
-hash of their id, so the sample does not depend on partitions.
+asks for more than it has is taken whole, and the others make up for it, so that ``keep`` is held and
+the targets can be missed. With ``meet_targets`` it is the other way round: ``keep`` is lowered to what the
+scarcest source, language and topic allow, and the probabilities are raked under their bound of 1.
+``expected_margins`` tells what either leaves over. Documents are drawn by a hash of their id, so the
+sample does not depend on partitions.
 
 Default targets flatten the observed shares: share ** ``temper``, normalised. Cells grow with
 sources times languages times topics, never with documents; raking runs as joins and sums on them.
@@ -88,10 +91,65 @@ def scale_for(weights: DataFrame, keep: float) -> float:
     return scale
 
 
+def feasible_keep(cells: DataFrame, targets: dict[str, DataFrame], keep: float) -> float:
+    """``keep``, or the largest share at which every value of every margin has tokens for its target."""
+    whole = cells.agg(F.sum("tokens")).first()[0]
+    if not whole:
+        return keep
+    for margin in MARGINS:
+        held = cells.groupBy(margin).agg(F.sum("tokens").alias("tokens")).filter("tokens > 0").join(targets[margin], margin)
+        most = held.filter("target > 0").agg(F.min(F.col("tokens") / F.col("target"))).first()[0]
+        keep = keep if most is None else min(keep, most / whole)
+    return keep
+
+
+def rake_bounded(weights: DataFrame, targets: dict[str, DataFrame], keep: float, rounds: int = ROUNDS) -> DataFrame:
+    """``weights`` (of ``rake``) with ``probability``, at most 1, whose expected margins are raked to the targets.
+
+    A factor works on the cells below the bound, those at it count as taken; where they alone hold
+    more than the target, all cells of the value are lowered.
+    """
+    whole = weights.agg(F.sum("tokens")).first()[0] or 0.0
+    state = weights.withColumn("chance", F.col("weight") * F.lit(keep * whole))
+    for margin in MARGINS:
+        state = state.join(targets[margin].select(
+            margin, (F.col("target") * F.lit(keep * whole)).alias(f"to_{margin}")), margin, "left")
+    state = stored(state, "cells")
+    for _ in range(rounds):
+        for margin in MARGINS:
+            full = F.col("chance") >= 1
+            mass = state.groupBy(margin).agg(
+                F.sum(F.when(full, F.col("tokens")).otherwise(0.0)).alias("taken"),
+                F.sum(F.when(full, 0.0).otherwise(F.col("chance") * F.col("tokens"))).alias("free"))
+            wanted = F.col(f"to_{margin}")
+            factor = F.when((F.col("free") > 0) & (wanted > F.col("taken")), (wanted - F.col("taken")) / F.col("free")).when(
+                F.col("taken") + F.col("free") > 0, wanted / (F.col("taken") + F.col("free")))
+            # a cell at the bound holds what it has, unless its value has too much
+            factor = F.when(full & (wanted >= F.col("taken")), F.greatest(factor, F.lit(1.0))).otherwise(factor)
+            state = state.join(mass, margin).withColumn(
+                "chance", F.coalesce(F.col("chance") * factor, F.lit(0.0))).drop("taken", "free")
+        state = stored(state, "cells")
+    return state.withColumn("probability", F.least(F.lit(1.0), "chance")).drop("chance", *(f"to_{m}" for m in MARGINS))
+
+
+def expected_margins(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
+    """(margin, value, target, share): what the sample of ``cells`` (tokens, probability) is expected to hold."""
+    mass = F.sum(F.col("tokens") * F.col("probability"))
+    out = None
+    for margin in MARGINS:
+        part = cells.groupBy(margin).agg(mass.alias("mass")).crossJoin(F.broadcast(cells.agg(mass.alias("whole"))))
+        part = part.join(targets[margin], margin, "full").select(
+            F.lit(margin).alias("margin"), F.col(margin).alias("value"), F.coalesce("target", F.lit(0.0)).alias("target"),
+            F.coalesce(F.col("mass") / F.col("whole"), F.lit(0.0)).alias("share"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def sample_mix(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
     lang_col: str = "lang", topic: Column | None = None, targets: dict[str, DataFrame] | None = None,
     temper: float = TEMPER, rounds: int = ROUNDS, keep: float = KEEP,
+    meet_targets: bool = False,
 ) -> DataFrame:
     """The sampled rows of ``docs`` with the columns ``mix_tokens`` and ``mix_probability`` added.
 
@@ -111,10 +169,14 @@ def sample_mix(
         F.sum("mix_tokens").cast("double").alias("tokens")), "cells")
     targets = targets or {m: tempered_targets(cells, m, temper) for m in MARGINS}
     weights = rake(cells, targets, rounds)
-    scale = scale_for(weights, keep)
-    chances = weights.select(
+    if meet_targets:
+        chances = rake_bounded(weights, targets, feasible_keep(cells, targets, keep), rounds)
+    else:
+        scale = scale_for(weights, keep)
+        chances = weights.withColumn("probability", F.least(F.lit(1.0), F.col("weight") * F.lit(scale)))
+    chances = chances.select(
         F.col("source").alias("_source"), F.col("lang").alias("_lang"), F.col("topic").alias("_topic"),
-        F.least(F.lit(1.0), F.col("weight") * F.lit(scale)).alias("mix_probability"))
+        F.col("probability").alias("mix_probability"))
     return labelled.join(chances, ["_source", "_lang", "_topic"]).filter(
         draw(F.col(id_col)) < F.col("mix_probability")).select(*docs.drop("mix_tokens", "mix_probability").columns,
                                                           "mix_tokens", "mix_probability")

@@ -175,6 +175,27 @@ def test_mix_meets_targets(spark, nothing):
     assert mixing.sample_mix(nothing).count() == 0
 
 
+def test_sampled_mix_meets_targets_under_the_bound(spark):
+    """One value is so scarce that its cells are taken whole: keep gives way, not the margins."""
+    sizes = {("a", "x", "t"): 900, ("a", "x", "u"): 60, ("a", "y", "t"): 200, ("a", "y", "u"): 40, ("b", "x", "t"): 300,
+             ("b", "x", "u"): 30, ("b", "y", "t"): 20, ("b", "y", "u"): 50}
+    cells = spark.createDataFrame([(*c, float(n)) for c, n in sizes.items()], "source string, lang string, topic string, tokens double")
+    targets = {m: mixing.tempered_targets(cells, m) for m in mixing.MARGINS}
+    keep = mixing.feasible_keep(cells, targets, 0.5)
+    assert 0 < keep < 0.5
+    rows = mixing.rake_bounded(mixing.rake(cells, targets), targets, keep, rounds=12)
+    assert sum(r["tokens"] * r["probability"] for r in rows.collect()) == pytest.approx(keep * 1600, rel=1e-3)
+    assert all(0 <= r["probability"] <= 1 for r in rows.collect())
+    for row in mixing.expected_margins(rows, targets).collect():
+        assert row["share"] == pytest.approx(row["target"], abs=1e-3)
+    docs = spark.createDataFrame([
+        (i, " ".join(["w"] * 10 + (["@"] if c[2] == "u" else [])), c[1], c[0]) for i, c in enumerate(
+            c for c, n in sizes.items() for _ in range(n))], "doc_id long, text string, lang string, source string")
+    found = {r["p"]: r["n"] for r in mixing.sample_mix(docs, meet_targets=True).selectExpr(
+        "mix_probability p").groupBy("p").agg({"p": "count"}).toDF("p", "n").collect()}
+    assert 0 < sum(found.values()) < 800 and max(found) <= 1
+
+
 def test_mix_takes_odd_rows(odd):
     sampled = mixing.sample_mix(odd)
     assert sampled.columns == [*odd.columns, "mix_tokens", "mix_probability"]
