@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from creascope.llm import (
-    decontaminate, exact_dedup, html_extract, language_id, line_dedup, minhash_dedup, mixing, pii_surrogates,
-    token_counts, toxicity)
+    decontaminate, exact_dedup, hard_negatives, html_extract, language_id, line_dedup, minhash_dedup, mixing,
+    packing, phrases, pii_surrogates, token_counts, toxicity)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -62,6 +62,23 @@ def token_totals(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(table(spark, folder, "documents"))
 
 
+def packed_documents(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed(table(spark, folder, "documents"))
+
+
+def negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Vectors in steps of 1/256, labels moved on where the id is divisible by 7, an anchor in 100 ids."""
+    vectors = table(spark, folder, "embeddings").filter(
+        F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))).select(
+        "vec_id", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"),
+        F.transform("embedding", lambda x: F.floor(x.cast("double") * 256)).alias("q"))
+    return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
+def collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": near_duplicates,
     "op2_decontamination": contaminations,
@@ -73,6 +90,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": toxicity_scores,
     "op9_language": languages,
     "op10_token_counts": token_totals,
+    "op11_packing": packed_documents,
+    "op12_hard_negatives": negatives,
+    "op13_phrases": collocations,
 }
 
 WORDS = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
@@ -110,4 +130,60 @@ WITH normal AS (
 SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
   doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
 FROM normal""",
+    "op12_hard_negatives": """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, a.label = r.label AS same, r.vec_id, CAST(list_inner_product(a.q, r.q) AS BIGINT) AS score
+  FROM v a, v r WHERE a.vec_id % 100 = 0 AND r.vec_id <> a.vec_id),
+positive AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+negative AS (
+  SELECT anchor_id, positive_id, positive_score, vec_id AS negative_id, score AS negative_score,
+    row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS rank
+  FROM positive JOIN scored USING (anchor_id)
+  WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM negative WHERE rank <= 5""",
+    "op13_phrases": f"""
+WITH texts AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+worded AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM texts),
+grams AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i
+        FROM worded, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE len(w) >= k)),
+counts AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM worded GROUP BY lang),
+cuts AS (
+  SELECT lang, k AS size, phrase, f AS a, string_split(phrase, ' ') AS w, unnest(generate_series(1, k - 1)) AS cut
+  FROM counts WHERE k > 1),
+parts AS (
+  SELECT lang, size, phrase, a, cut, array_to_string(w[1:cut], ' ') AS left_part,
+    array_to_string(w[cut + 1:], ' ') AS right_part FROM cuts),
+scored AS (
+  SELECT p.*, x.f AS l, y.f AS r, n, CAST((1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+  FROM parts p JOIN counts x ON x.lang = p.lang AND x.phrase = left_part
+  JOIN counts y ON y.lang = p.lang AND y.phrase = right_part JOIN totals t ON t.lang = p.lang),
+weakest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inner_phrases AS (
+  SELECT lang, f, array_to_string(w[i:i + m - 1], ' ') AS phrase
+  FROM (SELECT lang, f, w, m, unnest(generate_series(1, len(w) - m + 1)) AS i
+        FROM (SELECT lang, f, string_split(phrase, ' ') AS w, unnest(generate_series(2, k - 1)) AS m
+              FROM counts WHERE k > 2))),
+alone AS (
+  SELECT w.* FROM weakest w WHERE NOT EXISTS (
+    SELECT 1 FROM inner_phrases i WHERE i.lang = w.lang AND i.phrase = w.phrase AND 100 * i.f >= 100 * w.a))
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, a, l, r, n, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM alone)
+WHERE rank <= 2000""",
 }

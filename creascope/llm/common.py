@@ -105,8 +105,15 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """(hash of every word, its row). Words are runs without the six ASCII white-space bytes."""
+    return word_spans(data, offsets, lower)[:2]
+
+
+def word_spans(
+    data: np.ndarray, offsets: np.ndarray, lower: bool = True,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash of every word, its row, its first byte, the byte after it)."""
     if not len(data):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 3
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
     solid = ~_WHITE[data]
@@ -118,7 +125,7 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_BYTE[_LOWER[data] if lower else data] * up[:len(data)], out=total[1:])
     hashed = mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
-    return hashed, np.searchsorted(offsets, start, side="right") - 1
+    return hashed, np.searchsorted(offsets, start, side="right") - 1, start, end
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, k: int = SHINGLE_WORDS) -> tuple[np.ndarray, np.ndarray]:
