@@ -34,7 +34,7 @@ FANOUT = 16
 SAMPLE_ROWS = 8192     # bound of the sample the split points and first bounds come from
 LEAF_ROWS = 4096       # the tree gets deeper until leaves are about so large, as far as the sample allows
 ANCHOR_BLOCK = 256
-LEAST_SAMPLE = 4 * FANOUT  # a node with fewer sampled rows is a leaf
+LEAST_SAMPLE = 2 * FANOUT  # a node with fewer sampled rows is a leaf
 CELL_ROWS = 8192
 CELL_ANCHORS = 512
 SLACK = 1e-9           # relative, for distances in doubles; the leaves decide exactly

@@ -69,7 +69,7 @@ class Tokens:
 
     def _chunk(self, text: str) -> np.ndarray:
         try:
-            return np.array(self.fast.encode(text, allowed_special="all"), np.uint32)
+            return self.fast.encode_to_numpy(text, allowed_special="all")
         except ValueError:
             self.slow = self.slow or tokenizers.Tokenizer.from_str(self.content)
             return np.array(self.slow.encode(text, add_special_tokens=False).ids, np.uint32)
