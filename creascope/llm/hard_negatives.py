@@ -207,7 +207,7 @@ def build_tree(rows: DataFrame, sample: np.ndarray, width: int, largest: float,
         F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n"))
     sizes: dict[int, int] = {}
     # at most FANOUT**2 rows per node and one per leaf, whatever the data
-    for r in bounds.toLocalIterator():
+    for r in bounds.collect():
         if r["node"] < 0:
             sizes[r["i"]] = r["n"]
             continue
@@ -304,7 +304,7 @@ def search(asked: DataFrame, placed: DataFrame, tree, sample, sizes: dict[int, i
     pairs = stored(asked.mapInArrow(
         lambda b: reach_batches(b, tree, sample, width, count, same, exact), f"{QUERY}, leaf int"), "reached")
     # both tables have a row per leaf, and the number of leaves is bounded
-    asking = {r["leaf"]: r["n"] for r in pairs.groupBy("leaf").agg(F.count("*").alias("n")).toLocalIterator()}
+    asking = {r["leaf"]: r["n"] for r in pairs.groupBy("leaf").agg(F.count("*").alias("n")).collect()}
     plan = spark.createDataFrame(
         [(leaf, -(-n // cell_rows), -(-asking[leaf] // cell_anchors)) for leaf, n in sizes.items() if leaf in asking],
         "leaf int, slices long, blocks long")
@@ -374,12 +374,14 @@ def hard_negatives(
     lowest = F.expr(f"cast(ceil(cast(score as decimal(20, 0)) * {low} / 100) as long)")
     highest = F.expr(f"cast(floor(cast(score as decimal(20, 0)) * {high} / 100) as long)")
     windows = same.withColumns({"lo": lowest, "hi": highest}).filter("lo <= hi").groupBy("anchor_id").agg(
-        F.array_sort(F.collect_list(F.struct("rank", "vec_id", "lo", "hi"))).alias("w"))
+        F.array_sort(F.collect_list(F.struct("rank", "lo", "hi"))).alias("w"))
     windowed = anchors.join(windows, "anchor_id").select(
-        "anchor_id", "label", "q", F.col("w.vec_id").alias("names"), F.col("w.lo").alias("lo"), F.col("w.hi").alias("hi"))
+        "anchor_id", "label", "q", F.expr("transform(w, x -> cast(x.rank as long))").alias("names"), F.col("w.lo").alias("lo"), F.col("w.hi").alias("hi"))
+    # a window is named by its positive's rank, as rows with one id can be positives twice
     other = search(
         windowed, placed, tree, sample, sizes, width, negatives, False, exact, cell_rows, cell_anchors)
-    return other.join(same.select("anchor_id", F.col("vec_id").alias("name"), F.col("score").alias("positive_score")),
-                      ["anchor_id", "name"]).select(
-        "anchor_id", F.col("name").alias("positive_id"), F.col("rank").cast("int").alias("rank"),
+    given = same.select("anchor_id", F.col("rank").cast("long").alias("name"), F.col("vec_id").alias("positive_id"),
+                        F.col("score").alias("positive_score"))
+    return other.join(given, ["anchor_id", "name"]).select(
+        "anchor_id", "positive_id", F.col("rank").cast("int").alias("rank"),
         F.col("vec_id").alias("negative_id"), "positive_score", F.col("score").alias("negative_score"))

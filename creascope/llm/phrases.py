@@ -287,7 +287,7 @@ def bit_set(frequent: DataFrame, bits: int = FILTER_BITS, block: int = FILTER_BL
     packed = places.groupBy(F.floor(F.col("place") / block).alias("block")).applyInArrow(
         lambda table: pack_block(table, block), "block long, bits binary")
     out = bytearray(bits // 8)
-    for row in packed.toLocalIterator():
+    for row in packed.collect():
         out[row["block"] * block // 8:(row["block"] + 1) * block // 8] = row["bits"]
     return out
 
