@@ -10,18 +10,19 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from creascope.functions.cleaning import clip
 from creascope.functions.columns import CATEGORICAL_FEATURES, align_columns, feature_sets
 from creascope.operators.features import (
     apply_encoders, fill_numbers, fit_encoders, median_fills,
 )
+from creascope.operators.boosting import Forest, Settings, fit_together
 from creascope.operators.folds import assign_group_folds
 from creascope.operators.metrics import fold_summary, mean_importance, regression_metrics
 from creascope.session import shared_dir, stash
 
-# Settings of the boosted trees. Leaf count and L1/L2 terms have no counterpart.
+# Settings of Spark's boosted trees, which have no leaf count and no L1/L2 terms.
 TREE_SETTINGS = {
     "maxIter": 300, "stepSize": 0.05, "maxDepth": 6, "minInstancesPerNode": 10,
     "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8", "seed": 42,
@@ -31,7 +32,8 @@ TARGETS = ("engagement_rate", "click_through_rate")
 CTR_SHARE = 0.1
 NOTE_WITH_IMAGE = "Prediction from multimodal model (tabular + vision)"
 NOTE_WITHOUT_IMAGE = "Prediction from tabular-only model (no image provided)"
-FitFn = Callable[[DataFrame, Sequence[str], str], PipelineModel]
+Model = PipelineModel | Forest
+FitFn = Callable[[DataFrame, Sequence[str], str], Model]
 PREDICTION_SCHEMA = "model string, fold int, y double, prediction double"
 IMPORTANCE_SCHEMA = "model string, fold int, feature string, importance double"
 
@@ -49,6 +51,22 @@ def fit_trees(df: DataFrame, features: Sequence[str], target: str, **settings) -
     return Pipeline(stages=[_assembler(features), trees]).fit(df)
 
 
+class BoostedTrees:
+    """Fits ``boosting`` forests; several models of one table are grown in the same jobs."""
+
+    def __init__(self, **settings):
+        self.settings = Settings(**settings)
+
+    def __call__(self, df: DataFrame, features: Sequence[str], target: str) -> Forest:
+        return self.together(df, [(features, target, -1)])[0][0]
+
+    def together(self, df: DataFrame, models: Sequence[tuple[Sequence[str], str, int]], fold: str | None = None):
+        return fit_together(df, models, self.settings, fold)
+
+
+fit_boosted = BoostedTrees()
+
+
 def fit_ridge(df: DataFrame, features: Sequence[str], target: str, alpha: float = 1.0) -> PipelineModel:
     """Ridge regression on standardised features: squared error + ``alpha`` * squared weights.
 
@@ -65,8 +83,14 @@ def fit_ridge(df: DataFrame, features: Sequence[str], target: str, alpha: float
     return Pipeline(stages=[_assembler(features), scaler, ridge]).fit(df)
 
 
-def importance_list(model: PipelineModel, features: Sequence[str]) -> list[tuple[str, float]]:
-    """Importance per feature, highest first: tree importance or absolute coefficient."""
+def input_columns(model: Model) -> list[str]:
+    return list(model.features if isinstance(model, Forest) else model.stages[0].getInputCols())
+
+
+def importance_list(model: Model, features: Sequence[str]) -> list[tuple[str, float]]:
+    """Importance per feature, highest first: splits, tree importance or absolute coefficient."""
+    if isinstance(model, Forest):
+        return model.importances() if len(model.features) == len(features) else []
     last = model.stages[-1]
     if hasattr(last, "featureImportances"):
         scores = last.featureImportances.toArray()
@@ -119,6 +143,8 @@ def _cross_validate(
 ) -> tuple[DataFrame, DataFrame]:
     """Out-of-fold predictions and importances of several models, each named with its features."""
     spark = folded.sparkSession
+    if isinstance(fit, BoostedTrees) and fit_scope == "all":
+        return _cross_validate_together(folded, models, target, k, fit)
 
     def run(task: tuple[str, int]):
         name, fold = task
@@ -145,8 +171,22 @@ def _cross_validate(
     return predictions, spark.createDataFrame(scores, IMPORTANCE_SCHEMA)
 
 
+def _cross_validate_together(
+    folded: DataFrame, models: Mapping[str, Sequence[str]], target: str, k: int, fit: BoostedTrees,
+) -> tuple[DataFrame, DataFrame]:
+    """All models and folds in the same jobs; a row's out-of-fold score is kept where its fold is left out."""
+    tasks = [(name, fold) for name in models for fold in range(k)]
+    forests, scores = fit.together(folded, [(list(models[name]), target, fold) for name, fold in tasks], "fold")
+    labels = F.array(*[F.struct(F.lit(name).alias("model"), F.lit(fold).alias("left_out")) for name, fold in tasks])
+    zipped = scores.select("fold", F.col("y")[0].alias("y"), F.explode(F.arrays_zip(labels.alias("l"), "score")).alias("z"))
+    predictions = zipped.filter("z.l.left_out = fold").select(
+        F.col("z.l.model").alias("model"), "fold", "y", F.col("z.score").alias("prediction"))
+    rows = [(name, fold, f, s) for (name, fold), forest in zip(tasks, forests) for f, s in forest.importances()]
+    return predictions, folded.sparkSession.createDataFrame(rows, IMPORTANCE_SCHEMA)
+
+
 def group_cv(
-    df: DataFrame, features: Sequence[str], target: str, group: str, fit: FitFn = fit_trees,
+    df: DataFrame, features: Sequence[str], target: str, group: str, fit: FitFn = fit_boosted,
     k: int = 5, name: str = "model", fit_scope: str = "all", parallelism: int = 8,
 ) -> tuple[DataFrame, DataFrame]:
     """Out-of-fold predictions and per-fold importances of one model.
@@ -164,7 +204,7 @@ def group_cv(
 
 def benchmark(
     feature_df: DataFrame, target: str = TARGETS[0], group: str = "campaign_id", k: int = 5,
-    fit: FitFn = fit_trees, fit_scope: str = "all", parallelism: int = 8,
+    fit: FitFn = fit_boosted, fit_scope: str = "all", parallelism: int = 8,
 ) -> tuple[DataFrame, DataFrame]:
     """Baseline, tabular, vision and combined model on the same folds.
 
@@ -204,16 +244,20 @@ def benchmark(
 
 
 def fit_targets(
-    feature_df: DataFrame, targets: Sequence[str] = TARGETS, fit: FitFn = fit_trees,
+    feature_df: DataFrame, targets: Sequence[str] = TARGETS, fit: FitFn = fit_boosted,
     features: Sequence[str] | None = None,
-) -> dict[str, PipelineModel]:
+) -> dict[str, Model]:
     """One model per target column, each on the rows where that target is known."""
     features = list(features or feature_sets(feature_df)["multimodal"])
     rows = stash(feature_df.select(*features, *[t for t in targets if t in feature_df.columns])
                  .na.fill(0, features), "training")
+    present = [target for target in targets if target in rows.columns]
+    if isinstance(fit, BoostedTrees):
+        forests, _ = fit.together(rows, [(features, target, -1) for target in present])
+        return dict(zip(present, forests))
     return {
         target: fit(rows.filter(F.col(target).isNotNull()), features, target)
-        for target in targets if target in rows.columns
+        for target in present
     }
 
 
@@ -224,17 +268,18 @@ def ctr_or_share(ctr: Column | None, er: Column) -> Column:
 
 
 def score(
-    df: DataFrame, models: Mapping[str, PipelineModel], encoders: DataFrame,
-    keep: Sequence[str] = ("game_key",),
+    df: DataFrame, models: Mapping[str, Model], encoders: DataFrame,
+    keep: Sequence[str] = ("game_key",), contributions: int = 0,
 ) -> DataFrame:
     """Predicted rates for a table of creatives.
 
     Categories are encoded with the training dictionaries, unknown columns and NULLs become 0
     and predictions are bounded to [0, 1]. Needs the engagement model; without a CTR model a
-    share of the engagement rate is used.
+    share of the engagement rate is used. ``contributions`` adds so many features with what they moved
+    the engagement rate by (``feature_contributions``), largest first; it needs boosted trees.
     """
     er_model, ctr_model = models["engagement_rate"], models.get("click_through_rate")
-    features = er_model.stages[0].getInputCols()
+    features = input_columns(er_model)
     coded = [name.removesuffix("_enc") for name in features if name.endswith("_enc")]
     encoded = apply_encoders(df, encoders, coded, unseen="zero")
     seen = [F.col(name).isNotNull() for name in feature_sets(df)["vision"]]
@@ -244,6 +289,10 @@ def score(
     scored = er_model.transform(rows).withColumn(
         "engagement_rate_predicted", clip(F.col("prediction"), 0.0, 1.0)
     ).drop(*_outputs(er_model))
+    moved = []
+    if contributions:
+        scored = er_model.contributions(scored, "feature_contributions", contributions)
+        moved = ["feature_contributions"]
     ctr = None
     if ctr_model is not None:
         scored = ctr_model.transform(scored).withColumn("_ctr", clip(F.col("prediction"), 0.0, 1.0))
@@ -252,8 +301,26 @@ def score(
     return scored.select(
         *keep, "vision_features_used", "engagement_rate_predicted",
         ctr_or_share(ctr, F.col("engagement_rate_predicted")).alias("click_through_rate_predicted"),
-        note.alias("confidence_note"))
+        note.alias("confidence_note"), *moved)
 
 
-def _outputs(model: PipelineModel) -> list[str]:
+def _outputs(model: Model) -> list[str]:
+    if isinstance(model, Forest):
+        return ["prediction"]
     return [stage.getOutputCol() for stage in model.stages[:-1]] + ["prediction"]
+
+
+def save_model(spark: SparkSession, model: Model, path: str) -> None:
+    if isinstance(model, Forest):
+        model.save(spark, f"{path}/forest")
+    else:
+        model.write().overwrite().save(f"{path}/pipeline")
+
+
+def load_model(spark: SparkSession, path: str, kind: str) -> Model:
+    """``kind`` is ``forest`` or ``pipeline``, as ``model_kind`` names it."""
+    return Forest.load(spark, f"{path}/forest") if kind == "forest" else PipelineModel.load(f"{path}/pipeline")
+
+
+def model_kind(model: Model) -> str:
+    return "forest" if isinstance(model, Forest) else "pipeline"

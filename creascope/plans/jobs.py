@@ -11,7 +11,8 @@ from creascope.functions.columns import keep_present
 from creascope.operators import kpi, linking
 from creascope.operators.design import flatten_design, legacy_design_table
 from creascope.operators.features import feature_matrix
-from creascope.operators.models import TARGETS, FitFn, benchmark, fit_targets, fit_trees, score
+from creascope.operators.models import (
+    TARGETS, FitFn, Model, benchmark, fit_boosted, fit_targets, load_model, model_kind, save_model, score)
 from creascope.operators.vision import vision_table
 from creascope.schemas import INVENTORY
 from creascope.sinks.tables import (
@@ -128,7 +129,7 @@ def build_features(spark: SparkSession, out: str, force: bool = False) -> DataFr
 
 
 def run_benchmark(
-    spark: SparkSession, out: str, target: str = TARGETS[0], fit: FitFn = fit_trees, **options,
+    spark: SparkSession, out: str, target: str = TARGETS[0], fit: FitFn = fit_boosted, **options,
 ) -> tuple[DataFrame, DataFrame]:
     """Four-way comparison on the feature table; appended to the run history and kept as JSON."""
     models, importances = benchmark(build_features(spark, out), target=target, fit=fit, **options)
@@ -140,14 +141,15 @@ def run_benchmark(
 
 def train_final(
     feature_df: DataFrame, encoders: DataFrame, out: str,
-    targets: Sequence[str] = TARGETS, fit: FitFn = fit_trees,
-) -> Mapping[str, PipelineModel]:
+    targets: Sequence[str] = TARGETS, fit: FitFn = fit_boosted,
+) -> Mapping[str, Model]:
     """Fit the combined model per target on all its rows and store models and dictionaries."""
     models = fit_targets(feature_df, targets, fit)
     for target, model in models.items():
-        model.write().overwrite().save(f"{out}/models/{target}")
+        save_model(feature_df.sparkSession, model, f"{out}/models/{target}")
     write_table(encoders, f"{out}/models/encoders")
-    listing = feature_df.sparkSession.createDataFrame([(t,) for t in models], "target string")
+    listing = feature_df.sparkSession.createDataFrame(
+        [(target, model_kind(model)) for target, model in models.items()], "target string, kind string")
     write_table(listing, f"{out}/models/targets")
     return models
 
@@ -155,6 +157,6 @@ def train_final(
 def score_batch(df: DataFrame, out: str, keep: Sequence[str] = ("game_key",)) -> DataFrame:
     """Predicted rates for a table of creatives with the stored models."""
     spark = df.sparkSession
-    names = [row["target"] for row in read_table(spark, f"{out}/models/targets").collect()]
-    models = {name: PipelineModel.load(f"{out}/models/{name}") for name in names}
+    listing = read_table(spark, f"{out}/models/targets").collect()
+    models = {row["target"]: load_model(spark, f"{out}/models/{row['target']}", row["kind"]) for row in listing}
     return score(df, models, read_table(spark, f"{out}/models/encoders"), keep)

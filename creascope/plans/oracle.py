@@ -570,4 +570,27 @@ ORACLE: dict[str, str] = {
           CASE WHEN n_clicks > 0 AND n_impressions > 0 THEN least(1.0, n_clicks / n_impressions) END,
           CASE WHEN n_impressions > 0 THEN least(1.0, n_engagements / n_impressions) END * 0.1, 0.0)''')} AS ctr
       FROM (SELECT {EVENT_KEYS}, {COUNTS} FROM inventory GROUP BY ALL)"""),
+    # one boosting round: best single split by the regularised gain, minimum of 10 rows a side
+    "boosted_round": f"""
+      WITH rows AS (
+        SELECT doc_id, quality - avg(quality) OVER () AS rest, avg(quality) OVER () AS base,
+          CAST(n_chars AS DOUBLE) AS n_chars, CAST(toxic AS DOUBLE) AS toxic
+        FROM documents JOIN labels USING (doc_id)),
+      long AS (
+        SELECT doc_id, 'n_chars' AS feature, n_chars AS x, rest FROM rows
+        UNION ALL SELECT doc_id, 'toxic', toxic, rest FROM rows),
+      cuts AS (
+        SELECT 'n_chars' AS feature, 100.0 * 2 ** i AS cut FROM range(8) AS t(i)
+        UNION ALL SELECT 'toxic', 0.0),
+      sides AS (
+        SELECT feature, cut, x <= cut AS low, sum(rest) AS g, count(*) AS n
+        FROM long JOIN cuts USING (feature) GROUP BY ALL HAVING count(*) >= 10),
+      best AS (
+        SELECT feature, cut FROM sides GROUP BY ALL HAVING count(*) = 2
+        ORDER BY sum(greatest(abs(g) - 0.1, 0) ** 2 / (n + 0.1)) DESC, feature, cut LIMIT 1),
+      leaves AS (
+        SELECT feature, cut, low, 0.05 * sign(g) * greatest(abs(g) - 0.1, 0) / (n + 0.1) AS value
+        FROM sides JOIN best USING (feature, cut))
+      SELECT doc_id, {r6('base + value')} AS prediction
+      FROM rows JOIN leaves ON low = (CASE feature WHEN 'toxic' THEN toxic ELSE n_chars END <= cut)""",
 }
