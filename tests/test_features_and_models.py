@@ -1,5 +1,6 @@
 import math
 import random
+import re
 import statistics
 
 import numpy as np
@@ -58,6 +59,40 @@ def test_medians_are_exact(spark, accuracy, buckets):
     assert features.median_fills(df, ["few", "none"], approx=True)["none"] == 0.0
 
 
+@pytest.mark.parametrize("hold", [1, 7, 60])
+def test_medians_refine_until_few_values_are_held(spark, hold):
+    """Clustered, tied, mirrored and skewed columns; more values than may be held at once."""
+    rng = random.Random(9)
+    n = 3001
+    shapes = {
+        "clustered": [1e6 + rng.random() * 1e-3 for _ in range(n - 2)] + [-1e12, 1e12],
+        "two": [0.0] * (n // 2) + [1.0] * (n - n // 2),
+        "steps": [float(rng.randrange(9)) for _ in range(n)],
+        "signs": [rng.choice([-1, 1]) * 10 ** rng.uniform(-5, 5) for _ in range(n)],
+        "whole": [float(i * 7919 % n) for i in range(n)],
+    }
+    df = spark.createDataFrame(list(zip(*shapes.values())), ", ".join(f"{s} double" for s in shapes))
+    for rows in (df, df.limit(n - 1)):
+        found = {r.feature: r.median for r in features.column_medians(rows, list(shapes), buckets=10, hold=hold).collect()}
+        taken = list(zip(*rows.collect()))
+        for i, shape in enumerate(shapes):
+            assert found[shape] == statistics.median(taken[i]), shape
+
+
+def test_codes_of_many_values(spark):
+    values = [f"v{i * 7919 % 40_009}" for i in range(40_009)] + ["é", "", " "]
+    df = spark.createDataFrame([(v, f"w{i % 3}") for i, v in enumerate(values)], "a string, b string").repartition(6)
+    codes = features.fit_encoders(df, ["a", "b"])
+    plan = codes._jdf.queryExecution().executedPlan().toString()
+    got = {(r["column"], r["value"]): r["code"] for r in codes.collect()}
+    expected = sorted({r.value for r in codes.filter("column = 'a'").select("value").distinct().collect()})
+    assert [got["a", v] for v in expected] == list(range(len(expected)))
+    assert [got["b", f"w{i}"] for i in range(3)] == [0, 1, 2]
+    # no window over a whole column
+    windows = re.findall(r"windowspecdefinition\(([^)]*)", plan)
+    assert any(w.startswith("column") and ", part" in w for w in windows)
+
+
 def test_feature_matrix_fit_and_apply(spark):
     linked = spark.createDataFrame(
         [("a.png", "ios", 1.0, 2.0), ("b.png", None, None, 4.0), ("c.png", "android", 3.0, None)],
