@@ -45,8 +45,9 @@ def creative_kpis(
 ) -> DataFrame:
     """Counts and rates per campaign, creative and context with enough impressions.
 
-    ``keep_types`` adds a count column for other event types: a list of names, or ``"all"``
-    to pivot every type found.
+    ``keep_types`` keeps the counts of other event types: a list of names adds a column for each,
+    ``"map"`` a column ``type_counts`` with every type found. ``"all"`` pivots every type found into a
+    column, which scans the log once more for the types and is limited to as many as the session allows.
     """
     keys = [name for name in KEYS if name in inventory.columns]
     events = inventory.filter(F.col("type").isNotNull())
@@ -61,6 +62,13 @@ def creative_kpis(
         counted = counted.withColumnsRenamed(EVENT_COUNTS)
         absent = [name for name in EVENT_COUNTS.values() if name not in counted.columns]
         counted = counted.withColumns({name: F.lit(0).cast("long") for name in absent})
+    elif keep_types == "map":
+        # reduced by key and type first, so a key's map is put together from one row per type
+        per_type = events.groupBy(*keys, "type").agg(F.count("*").alias("n"))
+        counted = per_type.groupBy(*keys).agg(
+            F.map_from_entries(F.collect_list(F.struct("type", "n"))).alias("type_counts"))
+        counted = counted.withColumns({
+            name: F.coalesce(F.col("type_counts")[kind], F.lit(0)) for kind, name in EVENT_COUNTS.items()})
     else:
         extra = [F.count_if(F.col("type") == kind).alias(kind) for kind in keep_types]
         counted = grouped.agg(*event_counts(), *extra)

@@ -161,7 +161,9 @@ def attach_vision(
     """Add the vision columns the linked table does not have, first row per file."""
     identity = {"filename", "filepath", "slug", "request_id"}
     added = [name for name in vision.columns if name not in identity and name not in linked.columns]
-    images = first_per_key(vision, ["filename"], [F.asc(name) for name in order])
+    # only what is added or ranks a row: other columns need not be read
+    used = list(dict.fromkeys(["filename", *added, *order]))
+    images = first_per_key(vision.select(*used), ["filename"], [F.asc(name) for name in order])
     images = images.select(F.col("filename").alias("image_filename"), *added)
     return linked.join(images, "image_filename", "left")
 

@@ -72,8 +72,11 @@ def column_scan(d):
 
 @query
 def event_preview(d):
-    """A bounded look at the raw events."""
-    return files.preview(d.raw_inventory.select("game_key", "type", "device_type", "platform_os", "geo_country"))
+    """The first 1000 raw events in the order of the stored log."""
+    placed = files.with_position(d.table("events").select("event_id", "_metadata"))
+    first = files.preview(placed.select("event_id", "position"), 1000, "position")
+    shown = ["event_id", "game_key", "type", "device_type", "platform_os", "geo_country"]
+    return d.raw_inventory.select(*shown).join(first, "event_id", "left_semi")
 
 
 @query
@@ -232,8 +235,11 @@ def creative_kpis_null_keys(d):
 
 @query
 def creative_kpis_pivot(d):
-    """KPI table with a count column for every event type."""
-    return kpi.creative_kpis(d.inventory, min_impressions=1, keep_types="all")
+    """KPI table with the counts of every event type, found in one scan as a map per key."""
+    counted = kpi.creative_kpis(d.inventory, min_impressions=1, keep_types="map")
+    others = ("click", "error", "purchase", "signup")
+    return counted.withColumns(
+        {kind: F.coalesce(F.col("type_counts")[kind], F.lit(0)) for kind in others}).drop("type_counts")
 
 
 @query

@@ -505,6 +505,9 @@ ORACLE: dict[str, str] = {
     "vision_first": sql(f"SELECT filename, vec_id, {r6_as('brightness_mean', 'file_size_kb')} FROM vision_files"),
     "creative_kpis": sql(rounded_all("kpis", RATES)),
     "creative_kpis_null_keys": sql(NULL_KEY_KPIS),
+    # the log is stored in the order of its ids
+    "event_preview": sql("""SELECT event_id, game_key, type, device_type, platform_os, geo_country
+      FROM raw_inventory WHERE event_id IN (SELECT event_id FROM events ORDER BY event_id LIMIT 1000)"""),
     "creative_kpis_pivot": sql(PIVOT),
     "creative_metrics": sql(rounded_all("metrics", RATES)),
     "campaign_kpis": sql(CAMPAIGN_KPI),

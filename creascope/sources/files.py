@@ -141,5 +141,11 @@ def read_benchmark(spark: SparkSession, path) -> tuple[DataFrame, DataFrame]:
     return metrics, importances.withColumn("category", feature_category(F.col("feature_name")))
 
 
-def preview(df: DataFrame, n: int = 1000) -> DataFrame:
-    return df.limit(n)
+def with_position(df: DataFrame) -> DataFrame:
+    """Add ``position``, the place of every row of a Parquet table: file path, then row in the file."""
+    return df.withColumn("position", F.struct("_metadata.file_path", "_metadata.row_index"))
+
+
+def preview(df: DataFrame, n: int = 1000, order: str | None = None) -> DataFrame:
+    """A bounded look: any ``n`` rows, or the first ones by ``order``, of which each task keeps ``n``."""
+    return df.limit(n) if order is None else df.orderBy(order).limit(n)

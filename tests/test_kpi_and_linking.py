@@ -54,6 +54,19 @@ def test_other_types_become_columns(spark, keep):
     assert sum(r.swipe for r in rows) == 1
 
 
+def test_map_of_types_equals_the_pivot(spark):
+    many = events(spark).unionByName(events(spark).withColumn("type", F.concat(F.lit("kind"), F.monotonically_increasing_id())))
+    pivoted = kpi.creative_kpis(many, min_impressions=0, keep_types="all").collect()
+    mapped = {tuple(r[k] for k in kpi.KEYS): r for r in kpi.creative_kpis(many, min_impressions=0, keep_types="map").collect()}
+    assert len(pivoted) == len(mapped)
+    for r in pivoted:
+        m = mapped[tuple(r[k] for k in kpi.KEYS)]
+        assert all(m[n] == r[n] for n in ("n_impressions", "n_engagements", "n_clicks", "engagement_rate"))
+        others = {k: v for k, v in m["type_counts"].items() if k not in kpi.EVENT_COUNTS}
+        assert others == {c: r[c] for c in r.asDict() if c.startswith(("kind", "swipe", "other")) and r[c]}
+    assert kpi.creative_kpis(many.limit(0), min_impressions=0, keep_types="map").count() == 0
+
+
 def test_pivot_adds_absent_types(spark):
     only = events(spark).filter("type = 'impression'")
     row = kpi.creative_kpis(only, min_impressions=1, keep_types="all").first()
