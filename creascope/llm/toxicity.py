@@ -12,6 +12,7 @@ Only the fit is bounded: ``max_rows`` labelled rows, chosen by a hash of their i
 from __future__ import annotations
 
 import sys
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -87,26 +88,44 @@ def log_odds(weights: np.ndarray, bias: float, data: np.ndarray, offsets: np.nda
 
 # -- training ---------------------------------------------------------------------------------
 
-def bags(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(buckets, their counts, bounds per text, subwords per text)."""
-    data, offsets = buffers(texts)
-    ids, counts, sizes, lengths = [], [], [], []
-    for lo, hi in slices(offsets):
-        kinds = list(subwords(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]))
-        for i in range(hi - lo):
-            all_of = np.concatenate([bucket[cut[i]:cut[i + 1]] for bucket, cut in kinds])
-            distinct, times = np.unique(all_of, return_counts=True)
-            ids.append(distinct.astype(np.int32))
-            counts.append(np.minimum(times, 65535).astype(np.uint16))
-            sizes.append(len(distinct))
-            lengths.append(len(all_of))
-    bucket = np.concatenate(ids)
-    ids.clear()
-    return bucket, np.concatenate(counts), np.concatenate(([0], np.cumsum(sizes))), np.array(lengths)
-
-
-def train(texts: pa.Array, labels: np.ndarray, rounds: int = 6, batch_rows: int = 128, seed: int = 5) -> dict:
-    """{"weights": one number per bucket, "bias", "slope", "shift"} from labelled texts.
+def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, label, subwords, distinct, bag) per (id, label, text); the bag is packed by ``pack``."""
+    for batch in batches:
+        data, offsets = buffers(batch.column(2))
+        lengths, sizes, packed = [], [], []
+        for lo, hi in slices(offsets):
+            kinds = list(subwords(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]))
+            for i in range(hi - lo):
+                all_of = np.concatenate([bucket[cut[i]:cut[i + 1]] for bucket, cut in kinds])
+                distinct, times = np.unique(all_of, return_counts=True)
+                lengths.append(len(all_of))
+                sizes.append(len(distinct))
+                packed.append(pack(distinct, times))
+        yield pa.RecordBatch.from_arrays([
+            batch.column(0), batch.column(1), pa.array(lengths, pa.int64()), pa.array(sizes, pa.int64()),
+            pa.array(packed, pa.binary())], names=["_id", "_label", "subwords", "distinct", "bag"])
+
+
+def pack(distinct: np.ndarray, times: np.ndarray) -> bytes:
+    """Steps between sorted buckets (32 bits) and their counts (16 bits, the largest for more), compressed."""
+    steps = np.diff(distinct, prepend=0).astype(np.int32)
+    return zlib.compress(steps.tobytes() + np.minimum(times, 65535).astype(np.uint16).tobytes(), 1)
+
+
+def unpack(bags: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(buckets, their counts, bounds per text, subwords per text) of packed bags."""
+    sizes = bags.column("distinct").to_numpy()
+    bounds = np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
+    ids, counts = np.empty(bounds[-1], np.int32), np.empty(bounds[-1], np.uint16)
+    for at, bag in enumerate(bags.column("bag")):
+        raw, lo, hi = zlib.decompress(bag.as_buffer()), bounds[at], bounds[at + 1]
+        np.cumsum(np.frombuffer(raw, np.int32, hi - lo), out=ids[lo:hi])
+        counts[lo:hi] = np.frombuffer(raw, np.uint16, hi - lo, 4 * (hi - lo))
+    return ids, counts, bounds, bags.column("subwords").to_numpy()
+
+
+def train(packed: pa.Table, labels: np.ndarray, rounds: int = 6, batch_rows: int = 128, seed: int = 5) -> dict:
+    """{"weights": one number per bucket, "bias", "slope", "shift"} from labelled bags.
 
     ``weights`` is the embedding table times the difference of the two softmax columns: the log-odds
     of a text are linear in its mean embedding. Subwords of a single training text are left out.
@@ -115,13 +134,15 @@ def train(texts: pa.Array, labels: np.ndarray, rounds: int = 6, batch_rows: int
     share = float(np.clip(labels.mean(), 1e-3, 1 - 1e-3)) if len(labels) else 0.5
     if not len(labels) or labels.min() == labels.max():
         return {"weights": np.zeros(BUCKETS, np.float32), "bias": float(np.log(share / (1 - share))), "slope": 1.0, "shift": 0.0}
-    ids, counts, bounds, lengths = bags(texts)
+    ids, counts, bounds, lengths = unpack(packed)
+    del packed
     seen = np.bincount(ids, minlength=BUCKETS) > 1
     embedding = rng.uniform(-1, 1, (BUCKETS, DIMENSIONS)).astype(np.float32) / DIMENSIONS
     softmax = rng.normal(0, 0.3, (DIMENSIONS, 2)).astype(np.float32)
     offset = np.array([0.0, np.log(share / (1 - share))])
     fit = (rng.random(len(labels)) < 0.8) & (np.diff(bounds) > 0)
     squares, squares_w, squares_b = np.full(BUCKETS, 1e-10, np.float32), 1e-10, np.full(2, 1e-10)
+    change = np.empty((BUCKETS, DIMENSIONS), np.float32)
     for turn in range(rounds):
         chosen = rng.permutation(np.flatnonzero(fit))
         rate = 1.0 - 0.9 * turn / rounds
@@ -140,9 +161,8 @@ def train(texts: pa.Array, labels: np.ndarray, rounds: int = 6, batch_rows: int
             error /= len(batch)
             back, to_softmax = error @ softmax.T, mean.T @ error
             row = np.repeat(np.arange(len(batch)), size)
-            change = np.stack([
-                np.bincount(bucket, back[row, j] * part, minlength=BUCKETS) for j in range(DIMENSIONS)],
-                axis=1).astype(np.float32)
+            for j in range(DIMENSIONS):
+                change[:, j] = np.bincount(bucket, back[row, j] * part, minlength=BUCKETS)
             # one step size per bucket, from the squared gradients so far
             squares += (change ** 2).mean(axis=1)
             embedding -= (STEP * rate) * change / np.sqrt(squares)[:, None]
@@ -192,8 +212,13 @@ def fit_model(
         F.xxhash64("_id"), "_id").limit(max_rows)
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
     rows = texts.join(F.broadcast(known), "_id").filter("_text is not null").groupBy("_id").agg(
-        F.first("_label").alias("_label"), F.max("_text").alias("_text")).toArrow().sort_by("_id")
-    return train(rows.column("_text").combine_chunks(), rows.column("_label").to_numpy().astype(np.int64))
+        F.first("_label").alias("_label"), F.max("_text").alias("_text"))
+    # the bags are made in the tasks: the driver never holds a text
+    kind = texts.schema["_id"].dataType.simpleString()
+    packed = rows.mapInArrow(
+        bags, f"_id {kind}, _label int, subwords long, distinct long, bag binary").toArrow().sort_by("_id")
+    labels_of = packed.column("_label").to_numpy().astype(np.int64)
+    return train(packed.select(["subwords", "distinct", "bag"]), labels_of)
 
 
 # -- scoring ----------------------------------------------------------------------------------

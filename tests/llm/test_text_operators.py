@@ -265,7 +265,9 @@ def test_toxicity_learns_subwords(spark, odd, nothing):
             body[rng.randrange(30)] = "blorkhead" + rng.choice(["", "s", "ed"])
         texts.append(" ".join(body))
         labels.append(int(toxic))
-    model = toxicity.train(pa.array(texts), np.array(labels))
+    rows = pa.RecordBatch.from_arrays(
+        [pa.array(range(600)), pa.array(labels, pa.int32()), pa.array(texts)], names=["id", "label", "text"])
+    model = toxicity.train(pa.Table.from_batches(toxicity.bags(iter([rows]))), np.array(labels))
     seen = [" ".join([words(20, 99), w, words(9, 98)]) for w in ("blorkhead", "blorkheeads", "harmless")]
     docs = spark.createDataFrame(list(enumerate(seen)), "doc_id long, text string")
     score = {r["doc_id"]: r["score"] for r in toxicity.toxicity(docs, model).collect()}
