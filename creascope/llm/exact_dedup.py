@@ -26,6 +26,7 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
 from creascope.llm.common import _LOWER, buffers, lower_ascii, stored
+from creascope.llm.prefilter import only, without
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -170,7 +171,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     suspects = stored(suspects.distinct(), "suspects").withColumnRenamed("doc_id", "suspect")
 
     # whole texts as grouping keys: equal means equal in every byte
-    involved = texts.join(suspects, texts["doc_id"].eqNullSafe(suspects["suspect"]), "left_semi")
+    involved = only(texts, suspects, "doc_id")
     groups = involved.groupBy(lower_ascii(F.col("text")).alias("normal")).agg(
         F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")).filter("group_size > 1").select(
         F.unhex(F.sha2(F.col("normal").cast("binary"), 256)).alias("sha"), "keep_id", "group_size")
@@ -183,16 +184,15 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each group of equal texts; all columns.
+    """``docs`` with one row of each group of equal texts; all columns, whatever their names.
 
     Rows with a NULL id are left alone. Of rows that repeat both id and text one stays.
     """
     report = stored(exact_duplicates(docs, id_col, text_col).filter("group_size > 1 and doc_id is not null")
                     .select("doc_id", "kept"), "decisions")
-    marks = report.groupBy("doc_id").agg(
-        F.count("*").alias("_rows"), F.every("kept").alias("_kept")).filter("_rows > 1 or not _kept")
-    marks = marks.withColumnRenamed("doc_id", "_id")
-    joined = docs.join(marks.select("_id"), docs[id_col] == F.col("_id"), "left_anti")
-    repeated = marks.filter("_kept").select("_id")
-    return joined.unionByName(
-        docs.join(repeated, docs[id_col] == repeated["_id"], "left_semi").dropDuplicates([id_col]))
+    marks = report.groupBy(F.col("doc_id").cast(docs.schema[id_col].dataType).alias("doc_id")).agg(
+        F.count("*").alias("n"), F.every("kept").alias("kept")).filter("n > 1 or not kept")
+    marks = stored(marks, "marks")
+    repeated = stored(marks.filter("kept").select("doc_id"), "repeated")
+    return without(docs, marks.select("doc_id"), id_col).unionByName(
+        only(docs, repeated, id_col).dropDuplicates([id_col]))

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from creascope.llm.common import SHINGLE_WORDS, buffers, mix, shingles, signed, slices, stored
 from creascope.llm.graph import components_of_buckets
+from creascope.llm.prefilter import likely, only, without
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -152,9 +153,10 @@ def near_duplicates(
 
     def verify(pairs: DataFrame) -> DataFrame:
         pairs = stored(pairs, "pairs")
-        ends = pairs.select(F.col("a").alias("doc_id")).distinct().unionByName(
-            pairs.select(F.col("b").alias("doc_id")).distinct()).distinct()
-        involved = texts.join(ends, "doc_id", "left_semi")
+        ends = stored(pairs.select(F.col("a").alias("doc_id")).distinct().unionByName(
+            pairs.select(F.col("b").alias("doc_id")).distinct()).distinct(), "ends")
+        # the join with the pairs leaves out the few sets too many
+        involved = likely(texts, ends, "doc_id")
         full = stored(involved.mapInArrow(lambda b: shingle_sets(b, k), "node long, shingles binary"), "sets")
         full = full.dropDuplicates(["node"])
         left, right = full.toDF("a", "left_set"), full.toDF("b", "right_set")
@@ -168,7 +170,7 @@ def near_duplicates(
 
     def private(ends: DataFrame) -> DataFrame:
         ends = stored(ends.withColumnRenamed("node", "doc_id"), "ends")
-        involved = texts.join(ends, "doc_id", "left_semi")
+        involved = stored(only(texts, ends, "doc_id"), "involved")
         pieces = involved.mapInArrow(lambda b: shingle_rows(b, k), "node long, shingle long")
         once = pieces.groupBy("shingle").agg(
             F.min("node").alias("node"), F.max("node").alias("other")).filter("node = other")
@@ -190,7 +192,11 @@ def near_duplicates(
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with one document of each group; all columns, rows with a NULL id untouched."""
-    dropped = near_duplicates(docs, id_col, text_col, **options).filter("not kept").select(
-        F.col("doc_id").alias("_dropped")).distinct()
-    return docs.join(dropped, docs[id_col] == dropped["_dropped"], "left_anti")
+    """``docs`` with one document of each group; all columns, whatever their names.
+
+    Rows with a NULL id and documents without words are untouched; an empty table stays empty. Rows that
+    repeat an id stay or go together. Texts are read whole, however long.
+    """
+    dropped = stored(near_duplicates(docs, id_col, text_col, **options).filter("not kept").select(
+        F.col("doc_id").cast(docs.schema[id_col].dataType)).distinct(), "dropped")
+    return without(docs, dropped, id_col)
