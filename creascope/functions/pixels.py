@@ -77,41 +77,6 @@ def resize(rgb: np.ndarray, width: int, height: int, method: str) -> np.ndarray:
     return pixels.astype(np.uint8)
 
 
-def image_measures(rgb: np.ndarray) -> dict[str, float]:
-    """Size, brightness, saturation, colourfulness, entropy and colour diversity of one image."""
-    height, width, _ = rgb.shape
-    unit = rgb / 255.0
-    red, green, blue = unit[..., 0], unit[..., 1], unit[..., 2]
-    brightness = float((unit @ np.array(BRIGHTNESS_WEIGHTS)).mean())
-
-    top = unit.max(axis=2)
-    spread = top - unit.min(axis=2)
-    saturation = np.divide(spread, top, out=np.zeros_like(top), where=top > 0)
-
-    opponents = np.stack([red - green, 0.5 * (red + green) - blue])
-    deviation = np.sqrt(opponents.var(axis=(1, 2)).sum())
-    offset = np.sqrt((opponents.mean(axis=(1, 2)) ** 2).sum())
-
-    gray = (rgb.astype(np.int64) @ np.array(GRAY_WEIGHTS) + GRAY_ROUNDING) >> 16
-    share = np.bincount(gray.ravel(), minlength=256) / (gray.size + ENTROPY_EPSILON)
-
-    small = resize(rgb, THUMBNAIL, THUMBNAIL, "bicubic").astype(int)
-    level = np.minimum(small * COLOR_LEVELS // 255, COLOR_LEVELS - 1)
-    buckets = np.unique(level @ np.array([COLOR_LEVELS**2, COLOR_LEVELS, 1]))
-    return {
-        "aspect_ratio": width / height if height else 1.0,
-        "image_width": float(width),
-        "image_height": float(height),
-        "brightness_mean": brightness,
-        "saturation_mean": float(saturation.mean()),
-        "colorfulness": float(deviation + MEAN_WEIGHT * offset),
-        "visual_entropy": float(-(share * np.log2(share + ENTROPY_EPSILON)).sum()),
-        "color_diversity_score": len(buckets) / COLOR_LEVELS**3,
-        "is_dark_background": float(brightness < DARK_BELOW),
-        "is_light_background": float(brightness > LIGHT_ABOVE),
-    }
-
-
 def model_tensor(rgb: np.ndarray, size: int) -> np.ndarray:
     """(3, size, size) float32 input of an image model."""
     unit = resize(rgb, size, size, "bilinear") / 255.0

@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
 from pyspark import cloudpickle
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import PCA, ElementwiseProduct, StandardScaler
@@ -23,7 +22,6 @@ for module in (px, sys.modules[__name__]):
     cloudpickle.register_pickle_by_value(module)
 
 MEASURES = list(px.UNREADABLE)
-MEASURE_SCHEMA = ", ".join(["origin string", *(f"{name} double" for name in MEASURES)])
 
 
 def _decode(data, height: int, width: int, channels: int) -> np.ndarray | None:
@@ -33,21 +31,104 @@ def _decode(data, height: int, width: int, channels: int) -> np.ndarray | None:
     return px.to_rgb(data, int(height), int(width), int(channels))
 
 
-def handcrafted_features(images: DataFrame) -> DataFrame:
-    """Measures per image of Spark's ``image`` source; unreadable files get default values.
+def readable(images: DataFrame) -> DataFrame:
+    """(origin, height, width, channels, data) of the images the image source could decode."""
+    fields = images.select(
+        "image.origin", "image.height", "image.width", F.col("image.nChannels").alias("channels"), "image.data")
+    return fields.filter("height > 0 and width > 0 and data is not null")
+
+
+def pixel_rows(images: DataFrame) -> DataFrame:
+    """(origin, height, width, y, x, r, g, b): every pixel of every readable image.
 
-    Each task keeps one image of its Arrow batch unpacked at a time.
+    The stored bytes are cut into scan lines first and these into pixels, so that no row carries
+    a whole image along. Bytes are blue, green, red and perhaps alpha, or one gray level.
     """
-    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for origin, height, width, channels, data in batch.itertuples(index=False):
-                rgb = _decode(data, height, width, channels)
-                rows.append({"origin": origin, **(px.UNREADABLE if rgb is None else px.image_measures(rgb))})
-            yield pd.DataFrame(rows, columns=["origin", *MEASURES])
+    lines = readable(images).select("origin", "height", "width", "channels", F.posexplode(F.expr(
+        "transform(sequence(0, height - 1), y -> substring(data, y * width * channels + 1, width * channels))"
+    )).alias("y", "line"))
+    packed = lines.select("origin", "height", "width", "channels", "y", F.posexplode(F.expr(
+        "transform(sequence(0, width - 1), x -> cast(conv(hex(substring(line, x * channels + 1, channels)), 16, 10) as bigint))"
+    )).alias("x", "bytes"))
+    colour = packed.withColumn("bytes", F.expr(
+        "case channels when 1 then bytes * 65793 when 4 then shiftright(bytes, 8) else bytes end"))
+    return colour.select("origin", "height", "width", "y", "x", *[
+        F.expr(f"cast(shiftright(bytes, {shift}) & 255 as int)").alias(c) for c, shift in (("r", 0), ("g", 8), ("b", 16))])
+
+
+def resize_kernel(sizes: DataFrame, target: int) -> DataFrame:
+    """(size, tap, out, weight): antialiased bicubic weights in 1/2**22 steps, for every size of ``sizes``."""
+    near = "1.5D * d * d * d - 2.5D * d * d + 1"
+    far = "-0.5D * d * d * d + 2.5D * d * d - 4 * d + 2"
+    outs = sizes.selectExpr("size", f"size / {target} as ratio", f"explode(sequence(0, {target - 1})) as out").selectExpr(
+        "size", "out", "greatest(ratio, 1D) as stretch", "(out + 0.5D) * ratio as centre")
+    taps = outs.selectExpr("*", """explode(sequence(
+        greatest(cast(centre - 2 * stretch + 0.5D as int), 0),
+        least(cast(centre + 2 * stretch + 0.5D as int), size) - 1)) as tap""")
+    raw = taps.selectExpr("size", "out", "tap", "abs((tap + 0.5D - centre) / stretch) as d").selectExpr(
+        "size", "out", "tap", f"case when d < 1 then {near} when d < 2 then {far} else 0D end as raw")
+    total = raw.groupBy("size", "out").agg(F.sum("raw").alias("total"))
+    steps = F.col("raw") / F.col("total") * (1 << 22)
+    return raw.join(total, ["size", "out"]).select(
+        "size", "tap", "out", (steps + 0.5 * F.signum(steps)).cast("long").alias("weight")).filter("weight <> 0")
+
+
+def thumbnails(images: DataFrame, size: int = px.THUMBNAIL) -> DataFrame:
+    """(origin, y, x, r, g, b): every readable image in ``size`` x ``size`` pixels.
+
+    Across, then down, with 8-bit rounding after each: a pixel adds its share to the few outputs it
+    reaches, and tasks add up whole lines before the shuffle. The weights depend on the edge lengths that
+    occur and are stored, so the joins know how small they are.
+    """
+    edges = readable(images).select(F.explode(F.array("height", "width")).alias("size")).distinct()
+    kernel = stash(resize_kernel(edges, size), "resize_kernel")
+
+    def shrink(pixels: DataFrame, edge: str, at: str, keep: list[str]) -> DataFrame:
+        reached = pixels.join(kernel, (pixels[edge] == kernel["size"]) & (pixels[at] == kernel["tap"]))
+        sums = reached.groupBy(*keep, F.col("out").alias(at)).agg(
+            *[F.sum(F.col("weight") * F.col(c)).alias(c) for c in "rgb"])
+        return sums.select(*keep, at, *[
+            F.greatest(F.least(F.shiftright(F.col(c) + (1 << 21), 22), F.lit(255)), F.lit(0)).cast("int").alias(c)
+            for c in "rgb"])
+
+    across = shrink(pixel_rows(images), "width", "x", ["origin", "height", "y"])
+    return shrink(across, "height", "y", ["origin", "x"]).select("origin", "y", "x", "r", "g", "b")
+
+
+def colour_bucket() -> Column:
+    """One of 64 buckets, four levels a channel, of (r, g, b)."""
+    def level(channel: str):
+        return F.least(F.floor(F.col(channel) * px.COLOR_LEVELS / 255), F.lit(px.COLOR_LEVELS - 1))
+
+    return (level("r") * 16 + level("g") * 4 + level("b")).cast("int")
 
-    fields = images.select(*[f"image.{f}" for f in ("origin", "height", "width", "nChannels", "data")])
-    return fields.mapInPandas(measure, MEASURE_SCHEMA)
+
+def thumbnail_diversity(images: DataFrame) -> DataFrame:
+    """(origin, color_diversity_score): share of the colour buckets that the thumbnail of an image fills."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), colour_bucket())
+    return thumbnails(images).groupBy("origin").agg(
+        (F.bit_count(F.bit_or(bit)) / px.COLOR_LEVELS**3).alias("color_diversity_score"))
+
+
+def colour_measures(images: DataFrame) -> DataFrame:
+    """Size and colour measures per image, without colour diversity; unreadable files get defaults."""
+    measured = pixel_features(pixel_rows(images), "origin").drop("n_pixels", "color_diversity_score")
+    good = F.coalesce((F.col("image.height") > 0) & (F.col("image.width") > 0) & F.col("image.data").isNotNull(), F.lit(False))
+    height, width = (F.col(f"image.{edge}").cast("double") for edge in ("height", "width"))
+    sizes = images.select(
+        F.col("image.origin").alias("origin"), F.when(good, width / height).alias("aspect_ratio"),
+        F.when(good, width).alias("image_width"), F.when(good, height).alias("image_height"))
+    return sizes.join(measured, "origin", "left").na.fill(
+        {name: value for name, value in px.UNREADABLE.items() if name != "color_diversity_score"})
+
+
+def handcrafted_features(images: DataFrame) -> DataFrame:
+    """All measures per image of Spark's ``image`` source, whose origins tell them apart.
+
+    Everything is SQL over pixel rows; unreadable files get default values.
+    """
+    return colour_measures(images).join(thumbnail_diversity(images), "origin", "left").na.fill(
+        {"color_diversity_score": px.UNREADABLE["color_diversity_score"]}).select("origin", *MEASURES)
 
 
 def pixel_features(pixels: DataFrame, key: str = "filename") -> DataFrame:
@@ -62,10 +143,6 @@ def pixel_features(pixels: DataFrame, key: str = "filename") -> DataFrame:
     weights = px.BRIGHTNESS_WEIGHTS
     gray = sum((F.lit(w) * F.col(c) for w, c in zip(px.GRAY_WEIGHTS, "rgb")), F.lit(px.GRAY_ROUNDING))
 
-    def level(channel: str):
-        return F.least(F.floor(F.col(channel) * px.COLOR_LEVELS / 255), F.lit(px.COLOR_LEVELS - 1))
-
-    bucket = (level("r") * 16 + level("g") * 4 + level("b")).cast("int")
     per_pixel = pixels.select(
         key,
         F.shiftright(gray.cast("long"), 16).alias("gray"),
@@ -73,7 +150,7 @@ def pixel_features(pixels: DataFrame, key: str = "filename") -> DataFrame:
         F.when(top > 0, (top - bottom) / top).otherwise(0.0).alias("saturation"),
         (red - green).alias("rg"),
         (0.5 * (red + green) - blue).alias("yb"),
-        F.call_function("shiftleft", F.lit(1).cast("long"), bucket).alias("bucket"),
+        F.call_function("shiftleft", F.lit(1).cast("long"), colour_bucket()).alias("bucket"),
     )
     by_gray = per_pixel.groupBy(key, "gray").agg(
         F.count("*").alias("n"),

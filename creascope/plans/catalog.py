@@ -456,7 +456,7 @@ def pixel_measures(d):
 @query
 def image_measures(d):
     """Measures per decoded image, defaults for unreadable ones."""
-    measured = vision.handcrafted_features(d.images)
+    measured = vision.colour_measures(d.images)
     return measured.select(F.col("origin").cast("long").alias("vec_id"), *[
         m for m in vision.MEASURES if m != "color_diversity_score"])
 
@@ -464,7 +464,7 @@ def image_measures(d):
 @query
 def image_color_diversity(d):
     """Colour buckets of the 64x64 thumbnail of every image."""
-    return vision.handcrafted_features(d.images).select("origin", "color_diversity_score")
+    return vision.thumbnail_diversity(d.images)
 
 
 @query

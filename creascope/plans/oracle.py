@@ -439,6 +439,33 @@ IMAGE_DEFAULTS = {
 }
 
 
+def thumbnail_sql() -> tuple[str, str]:
+    """Colour buckets of 64x64 thumbnails of the 7x3 images, across and then down."""
+    def kernel(name: str, n: int) -> str:
+        return f"""{name} AS (
+      SELECT out, tap, w * 4194304 / sum(w) OVER (PARTITION BY out) AS steps FROM (
+        SELECT out, tap, CASE WHEN d < 1 THEN 1.5 * d ** 3 - 2.5 * d ** 2 + 1
+            WHEN d < 2 THEN -0.5 * d ** 3 + 2.5 * d ** 2 - 4 * d + 2 ELSE 0 END AS w
+        FROM (SELECT o AS out, t AS tap, abs(t + 0.5 - (o + 0.5) * ({n}::DOUBLE / 64)) AS d
+          FROM range(64) AS a(o), range({n}) AS b(t)
+          WHERE t >= floor(greatest((o + 0.5) * ({n}::DOUBLE / 64) - 1.5, 0))
+            AND t < floor((o + 0.5) * ({n}::DOUBLE / 64) + 2.5)))),
+    {name}_steps AS (SELECT out, tap, CAST(trunc(steps + 0.5 * sign(steps)) AS BIGINT) AS w FROM {name})"""
+
+    def added(c: str) -> str:
+        return f"CAST(greatest(0, least(255, floor((sum(w * {c}) + 2097152) / 4194304.0))) AS BIGINT) AS {c}"
+
+    channels = ", ".join(added(c) for c in "rgb")
+    bucket = "least(r * 4 // 255, 3) * 16 + least(g * 4 // 255, 3) * 4 + least(b * 4 // 255, 3)"
+    return f"""SELECT CAST(vec_id AS VARCHAR) AS origin,
+        CAST(count(DISTINCT {bucket}) AS DOUBLE) / 64 AS color_diversity_score
+      FROM (SELECT vec_id, a.x, k.out, {channels}
+        FROM (SELECT vec_id, p // 7 AS y, k.out AS x, {channels}
+          FROM pixels JOIN across_steps k ON k.tap = p % 7 WHERE vec_id % 50 <> 7 GROUP BY ALL) a
+        JOIN down_steps k ON k.tap = a.y GROUP BY ALL)
+      GROUP BY vec_id""", f"{kernel('across', 7)},\n{kernel('down', 3)}"
+
+
 def image_sql() -> str:
     columns = ", ".join(
         f"CASE WHEN vec_id % 50 = 7 THEN {v}::DOUBLE ELSE {r6(c)} END AS {c}" for c, v in IMAGE_DEFAULTS.items())
@@ -559,6 +586,7 @@ ORACLE: dict[str, str] = {
         'visual_entropy', 'color_diversity_score')}, is_dark_background, is_light_background
       FROM pixel_stats JOIN entropy USING (vec_id)"""),
     "image_measures": sql(image_sql()),
+    "image_color_diversity": sql(*thumbnail_sql()),
     "standardized_embeddings": f"""SELECT vec_id, dim, {r6('''CASE WHEN stddev_pop(x) OVER (PARTITION BY dim) > 0
         THEN (x - avg(x) OVER (PARTITION BY dim)) / stddev_pop(x) OVER (PARTITION BY dim) ELSE 0.0 END''')} AS value
       FROM (SELECT vec_id, CAST(dim AS INTEGER) AS dim, CAST(embedding[dim + 1] AS DOUBLE) AS x

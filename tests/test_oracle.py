@@ -8,7 +8,7 @@ from creascope.plans.oracle import ORACLE
 
 FOLDER = "/root/testdata/sf0.001"
 ROWS_ONLY = {
-    "image_color_diversity", "embedding_components", "image_embeddings",
+    "embedding_components", "image_embeddings",
     "image_table", "model_comparison", "model_importances",
     "run_rows", "batch_scores",
 }
