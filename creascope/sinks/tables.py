@@ -85,11 +85,28 @@ def run_importances(importances: DataFrame, run_timestamp) -> DataFrame:
 
 
 def append_run(models: DataFrame, importances: DataFrame, root: str, run_timestamp=None) -> None:
-    """Append one run to ``model_benchmarks`` and ``feature_importances``; history is kept."""
-    stamp = F.current_timestamp() if run_timestamp is None else run_timestamp
+    """Append one run to ``model_benchmarks`` and ``feature_importances``; history is kept.
+
+    Both tables carry the attempt that wrote them. The row appended to ``runs`` at the end commits the
+    attempt: until then ``read_run`` shows neither part, and a repeated run replaces the earlier one.
+    """
     spark = models.sparkSession
-    if run_timestamp is None:
-        # one instant for both tables
-        stamp = F.lit(spark.range(1).select(stamp.alias("t")).first()["t"])
-    write_table(run_metrics(models, stamp), f"{root}/model_benchmarks", mode="append")
-    write_table(run_importances(importances, stamp), f"{root}/feature_importances", mode="append")
+    stamp = F.current_timestamp() if run_timestamp is None else run_timestamp
+    # one instant and one attempt for all tables
+    commit = spark.range(1).select(stamp.alias("run_timestamp"), F.expr("uuid()").alias("attempt")).first()
+    stamp, attempt = F.lit(commit["run_timestamp"]), F.lit(commit["attempt"]).alias("attempt")
+    write_table(run_metrics(models, stamp).select("*", attempt), f"{root}/model_benchmarks", mode="append")
+    write_table(run_importances(importances, stamp).select("*", attempt), f"{root}/feature_importances", mode="append")
+    write_table(
+        spark.range(1).select(stamp.alias("run_timestamp"), attempt, F.current_timestamp().alias("committed_at")),
+        f"{root}/runs", mode="append")
+
+
+def read_run(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """Rows of ``model_benchmarks`` or ``feature_importances`` of committed runs, the last attempt of each."""
+    rows = read_table(spark, f"{root}/{table}")
+    if not exists(spark, f"{root}/runs"):
+        return rows.drop("attempt").filter(F.lit(False))
+    last = read_table(spark, f"{root}/runs").groupBy("run_timestamp").agg(
+        F.max_by("attempt", F.struct("committed_at", "attempt")).alias("attempt"))
+    return rows.join(last, ["run_timestamp", "attempt"], "left_semi").drop("attempt")

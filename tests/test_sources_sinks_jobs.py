@@ -102,12 +102,51 @@ def test_run_history_is_kept(spark, tmp_path):
     importances = spark.createDataFrame([("baseline", "brightness", 1.0)], "model string, feature string, importance double")
     for day in (1, 2):
         tables.append_run(models_, importances, str(tmp_path), F.lit(dt.datetime(2024, 1, day)))
-    history = tables.read_table(spark, f"{tmp_path}/model_benchmarks")
+    history = tables.read_run(spark, str(tmp_path), "model_benchmarks")
     assert history.count() == 2 and history.first().rmse == 0.0
     latest = reports.latest_run(history).collect()
     assert [r.run_timestamp.day for r in latest] == [2]
 
 
+def test_half_a_run_is_not_read_and_a_repeated_run_replaces(spark, tmp_path, monkeypatch):
+    root, write = str(tmp_path), tables.write_table
+    models_ = spark.createDataFrame(
+        [("baseline", "engagement_rate", 0.1, 0.2, 0.3, 5.0, 3)],
+        "model string, target_metric string, mae double, rmse double, r2 double, mape double, n_features int")
+    importances = spark.createDataFrame(
+        [("baseline", "brightness", 1.0)], "model string, feature string, importance double")
+
+    def counts():
+        return [tables.read_run(spark, root, name).count() for name in ("model_benchmarks", "feature_importances")]
+
+    def broken_at(part):
+        def fail(df, path, mode="overwrite"):
+            if path.endswith(part):
+                raise OSError("lost")
+            return write(df, path, mode)
+        return fail
+
+    first, second = (F.lit(dt.datetime(2024, 1, day)) for day in (1, 2))
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "write_table", broken_at("runs"))
+        with pytest.raises(OSError):
+            tables.append_run(models_, importances, root, first)
+    assert counts() == [0, 0]  # nothing was ever committed
+    tables.append_run(models_, importances, root, first)
+    assert counts() == [1, 1]
+    for part in ("feature_importances", "runs"):
+        with monkeypatch.context() as patch:
+            patch.setattr(tables, "write_table", broken_at(part))
+            with pytest.raises(OSError):
+                tables.append_run(models_, importances, root, second)
+        assert counts() == [1, 1]
+    for mae in (0.7, 0.9):  # the same run twice
+        tables.append_run(models_.withColumn("mae", F.lit(mae)), importances, root, second)
+    assert counts() == [2, 2]
+    rows = tables.read_run(spark, root, "model_benchmarks").orderBy("run_timestamp").collect()
+    assert [r.mae for r in rows] == [0.1, 0.9] and "attempt" not in rows[0].asDict()
+
+
 @pytest.mark.parametrize("er, tier", [
     (0.0799, "low"), (0.08, "avg"), (0.12, "avg"), (0.1201, "high"), (0.15, "high"), (0.1501, "top")])
 def test_tier_boundaries(one, er, tier):
