@@ -44,7 +44,11 @@ def pixel_rows(images: DataFrame) -> DataFrame:
     The stored bytes are cut into scan lines first and these into pixels, so that no row carries
     a whole image along. Bytes are blue, green, red and perhaps alpha, or one gray level.
     """
-    lines = readable(images).select("origin", "height", "width", "channels", F.posexplode(F.expr(
+    return _pixels(readable(images))
+
+
+def _pixels(sources: DataFrame) -> DataFrame:
+    lines = sources.select("origin", "height", "width", "channels", F.posexplode(F.expr(
         "transform(sequence(0, height - 1), y -> substring(data, y * width * channels + 1, width * channels))"
     )).alias("y", "line"))
     packed = lines.select("origin", "height", "width", "channels", "y", F.posexplode(F.expr(
@@ -73,16 +77,77 @@ def resize_kernel(sizes: DataFrame, target: int) -> DataFrame:
         "size", "tap", "out", (steps + 0.5 * F.signum(steps)).cast("long").alias("weight")).filter("weight <> 0")
 
 
+def kernel_arrays(kernel: DataFrame) -> DataFrame:
+    """(size, outs): per size the (tap, weight) pairs of every output, in order."""
+    outs = kernel.groupBy("size", "out").agg(F.array_sort(F.collect_list(F.struct("tap", "weight"))).alias("taps"))
+    return outs.groupBy("size").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("out", "taps"))), lambda o: o["taps"]).alias("outs"))
+
+
 def thumbnails(images: DataFrame, size: int = px.THUMBNAIL) -> DataFrame:
     """(origin, y, x, r, g, b): every readable image in ``size`` x ``size`` pixels.
 
-    Across, then down, with 8-bit rounding after each: a pixel adds its share to the few outputs it
-    reaches, and tasks add up whole lines before the shuffle. The weights depend on the edge lengths that
-    occur and are stored, so the joins know how small they are.
+    Across, then down, with 8-bit rounding after each. An image is reduced within its row, one scan line
+    after the other, so no pixel is shuffled. The weights depend on the edge lengths that occur and are
+    stored, so the joins know how small they are. Images that share an origin are added up pixel by pixel.
     """
-    edges = readable(images).select(F.explode(F.array("height", "width")).alias("size")).distinct()
+    sources = readable(images)
+    edges = sources.select(F.explode(F.array("height", "width")).alias("size")).distinct()
     kernel = stash(resize_kernel(edges, size), "resize_kernel")
+    # bytes that are missing or too many count only in sums of rows
+    whole = F.expr("length(data) = cast(height as bigint) * width * channels")
+    repeated = stash(sources.groupBy("origin").agg(F.count("*").alias("n"), F.bool_and(whole).alias("whole")).filter(
+        "n > 1 or not coalesce(whole, false)").select(F.col("origin").alias("_repeated")), "repeated")
+    same = F.col("origin").eqNullSafe(F.col("_repeated"))
+    single = _shrunk(sources.join(repeated, same, "left_anti"), kernel_arrays(kernel), size)
+    return single.unionByName(_summed(sources.join(repeated, same, "left_semi"), kernel))
+
 
+def _let(name: str, value: str, body: str) -> str:
+    """SQL of ``body`` with ``name`` for ``value``, which is evaluated once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def _shrunk(sources: DataFrame, kernel: DataFrame, size: int) -> DataFrame:
+    """Thumbnails of images with distinct origins, without a shuffle of pixels.
+
+    Red and green travel as the halves of one long, blue as another: a weighted sum of bytes stays
+    within 32 bits, sign included. A line is the array of the first, followed by that of the second.
+    """
+    def byte(total: str) -> str:
+        return f"greatest(least(shiftright({total} + {1 << 21}, 22), 255), 0)"
+
+    def halves(total: str) -> tuple[str, str]:
+        low = f"shiftright(shiftleft({total}, 32), 32)"
+        return byte(low), byte(f"shiftright({total} - {low}, 32)")
+
+    place = "(y * width + x) * channels + 1"
+    read = f"cast(conv(hex(substring(data, {place}, channels)), 16, 10) as bigint)"
+    colour = "transform(p, v -> case channels when 1 then v * 65793 when 4 then shiftright(v, 8) else v end)"
+    red, green = halves("u")
+    shrunk = f"""concat(
+        {_let("c", "transform(p, v -> (v & 255) + shiftleft(v & 65280, 24))",
+              f"transform(transform(across, ts -> aggregate(ts, 0L, (s, t) -> s + t.weight * c[t.tap])), u -> {red} + shiftleft({green}, 32))")},
+        {_let("c", "transform(p, v -> shiftright(v, 16) & 255)",
+              f"transform(across, ts -> {byte('aggregate(ts, 0L, (s, t) -> s + t.weight * c[t.tap])')})")})"""
+    line = _let("p", f"transform(sequence(0, width - 1), x -> {read})", _let("p", colour, shrunk))
+    sums = f"""aggregate(ts, array_repeat(0L, {2 * size}),
+        (s, t) -> zip_with(s, lines[t.tap], (a, v) -> a + t.weight * v))"""
+    rows = _let("lines", f"transform(sequence(0, height - 1), y -> {line})", f"transform(down, ts -> {sums})")
+    weighted = sources.join(kernel.toDF("width", "across"), "width").join(kernel.toDF("height", "down"), "height")
+    down = weighted.select("origin", F.posexplode(F.expr(rows)).alias("y", "sums")).select(
+        "origin", "y", F.slice("sums", 1, size).alias("rg"), F.slice("sums", size + 1, size).alias("b"))
+    pixels = down.select("origin", "y", F.posexplode(F.arrays_zip("rg", "b")).alias("x", "sum"))
+    red, green = halves("sum.rg")
+    return pixels.select("origin", "y", "x", *[
+        F.expr(f"cast({value} as int)").alias(c) for c, value in zip("rgb", (red, green, byte("sum.b")))])
+
+
+def _summed(sources: DataFrame, kernel: DataFrame) -> DataFrame:
+    """Thumbnails by sums over pixel rows, where several images may share an origin.
+
+    A pixel adds its share to the few outputs it reaches, and tasks add up whole lines before the shuffle.
+    """
     def shrink(pixels: DataFrame, edge: str, at: str, keep: list[str]) -> DataFrame:
         reached = pixels.join(kernel, (pixels[edge] == kernel["size"]) & (pixels[at] == kernel["tap"]))
         sums = reached.groupBy(*keep, F.col("out").alias(at)).agg(
@@ -91,7 +156,7 @@ def thumbnails(images: DataFrame, size: int = px.THUMBNAIL) -> DataFrame:
             F.greatest(F.least(F.shiftright(F.col(c) + (1 << 21), 22), F.lit(255)), F.lit(0)).cast("int").alias(c)
             for c in "rgb"])
 
-    across = shrink(pixel_rows(images), "width", "x", ["origin", "height", "y"])
+    across = shrink(_pixels(sources), "width", "x", ["origin", "height", "y"])
     return shrink(across, "height", "y", ["origin", "x"]).select("origin", "y", "x", "r", "g", "b")
 
 

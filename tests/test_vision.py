@@ -271,3 +271,36 @@ def test_gray_images_and_empty_tables(spark):
     rows = {r.origin: r for r in vision.handcrafted_features(images).collect()}
     assert rows["g"].saturation_mean == 0 and {m: rows["bad"][m] for m in vision.MEASURES} == px.UNREADABLE
     assert vision.handcrafted_features(images.limit(0)).count() == 0
+
+
+IMAGE = "image struct<origin: string, height: int, width: int, nChannels: int, mode: int, data: binary>"
+
+
+def stored_images(spark, named):
+    rows = [((name, *rgb.shape, 16, bytearray(rgb[:, :, ::-1].tobytes())),) for name, rgb in named]
+    return spark.createDataFrame(rows, IMAGE)
+
+
+def test_thumbnails_shuffle_no_pixels(spark):
+    draw = np.random.default_rng(8)
+    named = [(f"i{i}", draw.integers(0, 256, (3 + i, 70 - i, 3), dtype=np.uint8)) for i in range(4)]
+    thumbs = vision.thumbnails(stored_images(spark, named), 8)
+    found = {name: np.zeros((8, 8, 3), int) for name, _ in named}
+    for r in thumbs.collect():
+        found[r.origin][r.y, r.x] = r.r, r.g, r.b
+    for name, rgb in named:
+        assert (found[name] == px.resize(rgb, 8, 8, "bicubic")).all()
+    final = thumbs._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "keys=[origin" not in final  # pixels are added up within the row of their image
+
+
+def test_thumbnails_of_repeated_and_cut_images(spark):
+    flat = [("twice", solid(2, 2, (10, 20, 200)))] * 2 + [(None, solid(2, 2, (1, 2, 3))), ("one", solid(2, 2, (5, 6, 7)))]
+    images = stored_images(spark, flat).unionByName(spark.createDataFrame(
+        [(("cut", 2, 2, 3, 16, bytearray([30, 20, 10] * 3)),)], IMAGE))
+    found = {}
+    for r in vision.thumbnails(images, 2).collect():
+        found.setdefault(r.origin, {})[r.y, r.x] = (r.r, r.g, r.b)
+    everywhere = lambda colour: dict.fromkeys([(0, 0), (0, 1), (1, 0), (1, 1)], colour)
+    assert found["twice"] == everywhere((20, 40, 255)) and found[None] == everywhere((1, 2, 3))
+    assert found["one"] == everywhere((5, 6, 7)) and found["cut"][0, 0] == (10, 20, 30)
