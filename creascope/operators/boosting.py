@@ -1,22 +1,25 @@
 """Gradient-boosted regression trees by histograms, grown best leaf first.
 
-The rows are stored once with their quantile bins, one byte per feature, and kept in blocks of arrays
-in between the jobs of a round. A level of a tree is one job: every task adds up gradient and row count
-per node, feature and bin, the sums are reduced per node, and the best split of each node is found where
-its sums are. Only the splits come back to the driver, at most one per node. A tree is grown level by level to its depth and
+The rows are stored once and dealt to slices of at most ``TASK_ROWS`` rows with their quantile bins, one byte
+per feature. Several fits over the same rows (models and folds of a cross-validation, targets) grow in the
+same jobs: a block of arrays per slice and fit stays cached in between, each in a task of its own.
+
+A level of a tree is one job: every task adds up gradient and row count per node, feature and bin, the sums
+are reduced per node, and the best split of each node is found where its sums are. Only the splits come back
+to the driver, at most one per node. With a single slice there is nothing to reduce: its tasks go through
+the same levels by themselves, ``STORE_ROUNDS`` trees a job. A tree is grown level by level to its depth and
 then taken best leaf first until it has its leaves, which gives the same tree as growing it in that
 order, as a split's gain does not depend on when it is made.
 
-Several fits over the same rows (models and folds of a cross-validation, targets) go through the
-same jobs. Every row carries its score per fit. The blocks get each round's trees added when the next
-round first reads them; the scores are stored anew every ``STORE_ROUNDS`` rounds, so a lost block is
-made again from the stored table and that many trees at most.
+The blocks get each round's trees added when the next round first reads them. With several slices they are
+checkpointed every ``STORE_ROUNDS`` rounds, so a lost block is made again from that many trees at most.
 """
 
 from __future__ import annotations
 
 import heapq
 import json
+import pickle
 import sys
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import asdict, dataclass, field, replace
@@ -32,10 +35,10 @@ from creascope.session import stash
 # the Python workers need not have this package installed: its functions travel with the task
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-STORE_ROUNDS = 20
-ROWS = "row long, fold int, y array<double>, x binary, score array<double>"
-TASK_ROWS = 100_000  # rows of one task; fewer rows are one task, whose sums need no reducing
-Block = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]  # row, fold, y, bins, score
+STORE_ROUNDS = 50
+TASK_ROWS = 100_000  # rows of one slice; the sums of a single slice need no reducing
+Slice = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]  # row, fold, y per target, bins per feature
+Block = tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]  # fit, row, fold, y, bins, score
 
 
 @dataclass(frozen=True)
@@ -201,6 +204,7 @@ class Fit:
     columns: list[int] = field(default_factory=list)  # features of the tree being grown
     growing: Tree | None = None
     active: list[int] = field(default_factory=list)   # its nodes whose split is looked for
+    splits: dict[int, tuple] = field(default_factory=dict)
     done: bool = False
 
 
@@ -212,61 +216,67 @@ def hashed(row: np.ndarray, salt: int) -> np.ndarray:
     return ((z ^ (z >> np.uint64(31))) >> np.uint64(11)).astype(np.float64) / (1 << 53)
 
 
-def unpack(batch: pa.RecordBatch, width: int) -> Block:
-    rows = batch.num_rows
-    bins = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(rows, width)
-    lists = [np.asarray(batch.column(i).flatten().to_numpy(zero_copy_only=False), np.float64).reshape(rows, -1) for i in (2, 4)]
-    return batch.column(0).to_numpy(), batch.column(1).to_numpy(), lists[0], bins, lists[1]
-
-
-def blocks_of(rows: DataFrame, width: int) -> RDD[Block]:
-    """The stored rows as blocks of arrays; a lost block is read again from the stored table."""
-    def blocks(batches):
+def slices_of(raw: DataFrame, cuts: Sequence[Sequence[float]], tasks: int) -> RDD[Slice]:
+    """The stored rows in ``tasks`` slices of arrays, one per task; a lost slice is read again."""
+    def packed(batches):
+        parts = []
         for batch in batches:
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, batch.schema) as writer:
-                writer.write_batch(batch)
-            yield pa.RecordBatch.from_arrays([pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["block"])
-
-    def opened(record) -> Block:
-        return unpack(pa.ipc.open_stream(record[0]).read_next_batch(), width)
-
-    packed = rows.mapInArrow(blocks, "block binary").rdd.map(opened)
-    return packed.persist(StorageLevel.MEMORY_AND_DISK)
-
-
-def advanced(block: Block, shared) -> Block:
-    """The block with the predictions of one more tree per fit (None: none) in its scores."""
-    row, fold, y, bins, score = block
-    added = [np.zeros(len(row)) if tree is None else tree.predict(bins) for tree in shared.value]
-    return row, fold, y, bins, score + np.column_stack(added)
-
-
-def histograms(blocks: Iterator[Block], shared, offsets: np.ndarray, settings: Settings, turn: int):
-    """((fit, node), sums): gradient and rows per bin, the bins of all features one after the other."""
-    fits: list[Fit] = shared.value
-    size = int(offsets[-1])
-    sums = {i: np.zeros((len(f.active), 2, size)) for i, f in enumerate(fits) if f.active}
-    for row, fold, y, bins, score in blocks:
-        for i, total in sums.items():
-            fit = fits[i]
-            use = (fold != fit.fold) & ~np.isnan(y[:, fit.target])
-            if settings.row_share < 1:
-                use &= hashed(row, settings.seed + 1000 * turn + i) < settings.row_share
-            part = bins[use]
-            place = np.full(len(fit.growing.value), -1)
-            place[fit.active] = np.arange(len(fit.active))
-            node = place[fit.growing.nodes(part)]
-            inside = node >= 0
-            gradient = (score[use, i] - y[use, fit.target])[inside]
-            part, node = part[inside], node[inside]
-            flat = ((node * size)[:, None] + offsets[:-1][fit.columns] + part[:, fit.columns]).ravel()
-            for k, weight in ((0, np.repeat(gradient, len(fit.columns))), (1, None)):
-                total[:, k] += np.bincount(flat, weight, len(fit.active) * size).reshape(len(fit.active), size)
-    for i, total in sums.items():
-        for j, node in enumerate(fits[i].active):
-            if total[j, 1].any():
-                yield (i, node), total[j]
+            n = batch.num_rows
+            y, values = (np.asarray(batch.column(i).flatten().to_numpy(zero_copy_only=False), np.float64).reshape(n, -1)
+                         for i in (2, 3))
+            parts.append((batch.column(0).to_numpy(), batch.column(1).to_numpy(), y.T,
+                          np.ascontiguousarray(binned(values.reshape(n, len(cuts)), cuts).T)))
+        if parts:
+            content = pickle.dumps(tuple(np.concatenate(column, axis=-1) for column in zip(*parts)), protocol=5)
+            yield pa.RecordBatch.from_arrays([pa.array([content], pa.binary())], names=["slice"])
+
+    dealt = raw.coalesce(1) if tasks == 1 else raw.repartition(tasks)
+    sliced = dealt.mapInArrow(packed, "slice binary").rdd.map(lambda record: pickle.loads(record[0]))
+    return sliced.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def blocks_of(slices: RDD[Slice], fits: Sequence[Fit]) -> RDD[Block]:
+    """Every slice once per fit, each in a partition of its own."""
+    def block(i: int, target: int, base: float):
+        def of(part: Slice) -> Block:
+            row, fold, y, bins = part
+            return i, row, fold, y[target], bins, np.full(len(row), base)
+        return of
+
+    parts = [slices.map(block(i, f.target, f.base)) for i, f in enumerate(fits)]
+    return slices.context.union(parts).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def advanced(block: Block, trees: Mapping[int, Tree | None]) -> Block:
+    """The block with the prediction of one more tree of its fit (None: none) in its score."""
+    i, row, fold, y, bins, score = block
+    return block if trees.get(i) is None else (i, row, fold, y, bins, score + trees[i].predict(bins.T))
+
+
+def sampled(block: Block, fit: Fit, settings: Settings, turn: int) -> tuple[np.ndarray, np.ndarray]:
+    """(bins, gradient) of the rows that a fit's tree is grown on."""
+    i, row, fold, y, bins, score = block
+    use = (fold != fit.fold) & ~np.isnan(y)
+    if settings.row_share < 1:
+        use &= hashed(row, settings.seed + 1000 * turn + i) < settings.row_share
+    return bins[:, use], (score - y)[use]
+
+
+def histograms(bins: np.ndarray, gradient: np.ndarray, fit: Fit, offsets: np.ndarray) -> dict[int, np.ndarray]:
+    """Sums per active node with rows: gradient and rows per bin, the bins of all features one after the other."""
+    nodes = len(fit.active)
+    place = np.full(len(fit.growing.value), -1)
+    place[fit.active] = np.arange(nodes)
+    node = place[fit.growing.nodes(bins.T)]
+    inside = np.flatnonzero(node >= 0)
+    node, gradient = node[inside], gradient[inside]
+    total = np.zeros((nodes, 2, int(offsets[-1])))
+    for column in fit.columns:
+        first, last = int(offsets[column]), int(offsets[column + 1])
+        flat = node * (last - first) + bins[column][inside]
+        for k, weight in ((0, gradient), (1, None)):
+            total[:, k, first:last] = np.bincount(flat, weight, nodes * (last - first)).reshape(nodes, -1)
+    return {n: total[j] for j, n in enumerate(fit.active) if total[j, 1].any()}
 
 
 def weight_of(g, n, settings: Settings):
@@ -319,90 +329,120 @@ def best_first(tree: Tree, splits: Mapping[int, tuple], leaves: int) -> Tree:
     return out
 
 
-def boost(rows: DataFrame, fits: list[Fit], edges: Sequence[Sequence[float]], settings: Settings) -> DataFrame:
-    """Grow all ``fits`` in step; returns the rows with their final scores.
+def start(fit: Fit, i: int, settings: Settings, turn: int) -> None:
+    """A new tree on a draw of the features."""
+    draw = np.random.default_rng([settings.seed, turn, i])
+    count = max(1, round(settings.column_share * len(fit.features)))
+    fit.columns = sorted(int(c) for c in draw.choice(fit.features, count, replace=False))
+    fit.growing, fit.active, fit.splits = Tree(), [0], {}
+    fit.growing.add(0.0)
+
+
+def extend(fit: Fit, found: Sequence[tuple], settings: Settings) -> None:
+    """One level more, from (node, best split) of the active nodes."""
+    tree, fit.active = fit.growing, []
+    for node, feature, edge, gain, gl, nl, g, n in sorted(found):
+        tree.value[node] = settings.rate * float(weight_of(g, n, settings))
+        if feature < 0:
+            continue
+        tree.feature[node], tree.bin[node] = feature, edge
+        halves = ((gl, nl), (g - gl, n - nl))
+        tree.left[node], tree.right[node] = (
+            tree.add(settings.rate * float(weight_of(part, rows_in, settings))) for part, rows_in in halves)
+        fit.active += [child for child, (_, rows_in) in zip((tree.left[node], tree.right[node]), halves)
+                       if rows_in >= 2 * settings.min_rows]
+        fit.splits[node] = (feature, edge, gain)
+
+
+def finish(fit: Fit, settings: Settings) -> Tree | None:
+    """The grown tree; without a split the fit ends, as no later tree would find one on these gradients."""
+    tree = best_first(fit.growing, fit.splits, settings.leaves) if fit.splits else None
+    if tree is None:
+        fit.done = True
+    else:
+        fit.trees.append(tree)
+    fit.growing, fit.active, fit.splits = None, [], {}
+    return tree
+
+
+def grown_alone(block: Block, fit: Fit, offsets: np.ndarray, settings: Settings, turns: Sequence[int]) -> tuple[Block, list[Tree], bool]:
+    """(block, new trees, whether the fit has ended) for a block with all rows of its fit."""
+    i, fit = block[0], replace(fit, trees=[])
+    for turn in turns:
+        if fit.done:
+            break
+        start(fit, i, settings, turn)
+        bins, gradient = sampled(block, fit, settings, turn)
+        for _ in range(settings.max_depth):
+            if not fit.active:
+                break
+            sums = histograms(bins, gradient, fit, offsets)
+            extend(fit, [(n, *best_split(total, fit.columns, offsets, settings)) for n, total in sums.items()], settings)
+        block = advanced(block, {i: finish(fit, settings)})
+    return block, fit.trees, fit.done
 
-    A fit ends when its tree finds no split, as no later one would on these gradients.
-    """
-    spark = rows.sparkSession
-    context = spark.sparkContext
-    width = len(edges)
-    offsets = np.concatenate(([0], np.cumsum([len(e) + 1 for e in edges])))
-    blocks, older = blocks_of(rows, width), None
+
+def boost_alone(blocks: RDD[Block], fits: list[Fit], offsets: np.ndarray, settings: Settings) -> RDD[Block]:
+    """Grow all ``fits`` on one block each; returns the blocks with their final scores."""
+    for first in range(0, settings.rounds, STORE_ROUNDS):
+        if all(f.done for f in fits):
+            break
+        turns = range(first, min(first + STORE_ROUNDS, settings.rounds))
+        known = [replace(f, trees=[]) for f in fits]
+        grown = blocks.map(lambda b, k=known, t=turns: grown_alone(b, k[b[0]], offsets, settings, t)).persist(
+            StorageLevel.MEMORY_AND_DISK)
+        for i, trees, done in grown.map(lambda found: (found[0][0], *found[1:])).collect():
+            fits[i].trees += trees
+            fits[i].done = done
+        older, blocks = blocks, grown.map(lambda found: found[0]).persist(StorageLevel.MEMORY_AND_DISK)
+        blocks.count()
+        older.unpersist()
+        grown.unpersist()
+    return blocks
+
+
+def boost(blocks: RDD[Block], fits: list[Fit], offsets: np.ndarray, settings: Settings) -> RDD[Block]:
+    """Grow all ``fits`` in step, level by level; returns the blocks with their final scores."""
+    older = None
     for turn in range(settings.rounds):
-        live = [f for f in fits if not f.done]
+        live = [(i, f) for i, f in enumerate(fits) if not f.done]
         if not live:
             break
-        splits: dict[int, dict[int, tuple]] = {i: {} for i in range(len(fits))}
-        for i, fit in enumerate(fits):
-            if fit.done:
-                continue
-            draw = np.random.default_rng([settings.seed, turn, i])
-            count = max(1, round(settings.column_share * len(fit.features)))
-            fit.columns = sorted(int(c) for c in draw.choice(fit.features, count, replace=False))
-            fit.growing, fit.active = Tree(), [0]
-            fit.growing.add(0.0)
+        for i, fit in live:
+            start(fit, i, settings, turn)
         for _ in range(settings.max_depth):
-            if not any(f.active for f in live):
+            if not any(f.active for _, f in live):
                 break
             # the trees grown so far stay here
-            shared = context.broadcast([replace(f, trees=[]) for f in fits])
-            sums = blocks.mapPartitions(lambda b, s=shared, t=turn: histograms(b, s, offsets, settings, t))
-            if blocks.getNumPartitions() > 1:
-                sums = sums.reduceByKey(np.add)
-            found = sums.map(lambda kv, s=shared: (
-                *kv[0], *best_split(kv[1], s.value[kv[0][0]].columns, offsets, settings))).collect()
-            shared.destroy()
+            known = [replace(f, trees=[]) for f in fits]
+
+            def sums(block: Block, known=known, turn=turn):
+                fit = known[block[0]]
+                if not fit.active:
+                    return []
+                found = histograms(*sampled(block, fit, settings, turn), fit, offsets)
+                return [((block[0], node), total) for node, total in found.items()]
+
+            found = blocks.flatMap(sums).reduceByKey(np.add).map(lambda kv, k=known: (
+                *kv[0], *best_split(kv[1], k[kv[0][0]].columns, offsets, settings))).collect()
             if older is not None:
                 older.unpersist()
                 older = None
-            for fit in live:
-                fit.active = []
-            for i, node, feature, edge, gain, gl, nl, g, n in sorted(found):
-                fit, tree = fits[i], fits[i].growing
-                tree.value[node] = settings.rate * float(weight_of(g, n, settings))
-                if feature < 0:
-                    continue
-                tree.feature[node], tree.bin[node] = feature, edge
-                halves = ((gl, nl), (g - gl, n - nl))
-                tree.left[node], tree.right[node] = (
-                    tree.add(settings.rate * float(weight_of(part, rows_in, settings))) for part, rows_in in halves)
-                fit.active += [child for child, (_, rows_in) in zip((tree.left[node], tree.right[node]), halves)
-                               if rows_in >= 2 * settings.min_rows]
-                splits[i][node] = (feature, edge, gain)
-        grown: list[Tree | None] = []
-        for i, fit in enumerate(fits):
-            grown.append(best_first(fit.growing, splits[i], settings.leaves) if splits[i] else None)
-            if grown[-1] is None:
-                fit.done = True
-            else:
-                fit.trees.append(grown[-1])
-            fit.growing, fit.active = None, []
-        trees = context.broadcast(grown)
+            for i, fit in live:
+                extend(fit, [split for at, *split in found if at == i], settings)
+        trees = {i: finish(fit, settings) for i, fit in live}
         older, blocks = blocks, blocks.map(lambda block, t=trees: advanced(block, t)).persist(StorageLevel.MEMORY_AND_DISK)
         if turn % STORE_ROUNDS == STORE_ROUNDS - 1:
-            stored = stash(records(blocks, spark), "scores")
-            older.unpersist()
-            blocks.unpersist()
-            blocks, older = blocks_of(stored, width), None
-    scores = stash(records(blocks, spark), "scores")
-    for kept in (older, blocks):
-        if kept is not None:
-            kept.unpersist()
-    return scores
-
-
-def records(blocks: RDD[Block], spark: SparkSession) -> DataFrame:
-    """The blocks as rows again."""
+            blocks.checkpoint()
+    return blocks
+
+
+def score_rows(blocks: RDD[Block], spark: SparkSession) -> DataFrame:
+    """(row, fit, score) of every block."""
     def packed(block: Block) -> tuple[bytearray]:
-        row, fold, y, bins, score = block
-        bounds = np.arange(len(row) + 1)
-        batch = pa.RecordBatch.from_arrays([
-            pa.array(row), pa.array(fold),
-            pa.ListArray.from_arrays(pa.array(bounds * y.shape[1], pa.int32()), pa.array(np.ascontiguousarray(y).ravel())),
-            pa.array([r.tobytes() for r in bins], pa.binary()),
-            pa.ListArray.from_arrays(pa.array(bounds * score.shape[1], pa.int32()), pa.array(np.ascontiguousarray(score).ravel()))],
-            names=["row", "fold", "y", "x", "score"])
+        i, row, *_, score = block
+        batch = pa.RecordBatch.from_arrays(
+            [pa.array(row), pa.array(np.full(len(row), i, np.int32)), pa.array(score)], names=["row", "fit", "score"])
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, batch.schema) as writer:
             writer.write_batch(batch)
@@ -413,7 +453,7 @@ def records(blocks: RDD[Block], spark: SparkSession) -> DataFrame:
             for content in batch.column(0).to_pylist():
                 yield pa.ipc.open_stream(content).read_next_batch()
 
-    return spark.createDataFrame(blocks.map(packed), "block binary").mapInArrow(opened, ROWS)
+    return spark.createDataFrame(blocks.map(packed), "block binary").mapInArrow(opened, "row long, fit int, score double")
 
 
 def fit_together(
@@ -448,28 +488,24 @@ def fit_together(
         count = sum(r[f"c{t}"] for r in used)
         base = sum(r[f"s{t}"] or 0.0 for r in used) / count if count else 0.0
         fits.append(Fit(t, [names.index(f) for f in features], left_out, base, done=not features or not count))
-    bases = [f.base for f in fits]
     tasks = -(-sum(r["rows"] for r in parts) // TASK_ROWS) or 1
-    rows = stash(raw.coalesce(tasks).mapInArrow(lambda b: bin_batches(b, cuts, bases), ROWS), "binned")
-    scores = boost(rows, fits, cuts, settings)
+    offsets = np.concatenate(([0], np.cumsum([len(e) + 1 for e in cuts])))
+    slices = slices_of(raw, cuts, tasks)
+    grow = boost_alone if tasks == 1 else boost
+    blocks = grow(blocks_of(slices, fits), fits, offsets, settings)
+    long = stash(score_rows(blocks, df.sparkSession), "fitted")
+    blocks.unpersist()
+    slices.unpersist()
+    # one score per fit
+    wide = long.groupBy("row").agg(F.transform(
+        F.array_sort(F.collect_list(F.struct("fit", "score"))), lambda s: s["score"]).alias("score"))
+    scores = stash(raw.join(wide, "row").select("row", "fold", "y", "score"), "scores")
     forests = []
     for (features, _, _), fit in zip(models, fits):
         place = {j: i for i, j in enumerate(fit.features)}
         trees = [Tree([place.get(f, -1) for f in t.feature], t.bin, t.left, t.right, t.value) for t in fit.trees]
         forests.append(Forest(list(features), [cuts[j] for j in fit.features], fit.base, trees))
-    return forests, scores.select("row", "fold", "y", "score")
-
-
-def bin_batches(batches, cuts: Sequence[Sequence[float]], bases: Sequence[float]):
-    for batch in batches:
-        n = batch.num_rows
-        values = np.asarray(batch.column(3).flatten().to_numpy(zero_copy_only=False), np.float64).reshape(n, len(cuts))
-        bins = binned(values, cuts)
-        bounds = np.arange(n + 1) * len(bases)
-        scores = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(np.tile(np.array(bases, float), n)))
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:3], pa.array([r.tobytes() for r in bins], pa.binary()), scores],
-            names=["row", "fold", "y", "x", "score"])
+    return forests, scores
 
 
 def fit_forest(df: DataFrame, features: Sequence[str], target: str, **settings) -> Forest:

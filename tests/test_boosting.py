@@ -137,3 +137,22 @@ def test_cross_validation_in_shared_jobs(data):
     assert sorted(r["y"] for r in got) == pytest.approx(sorted(y)) and {r["model"] for r in got} == {"trees"}
     assert np.mean([(r["y"] - r["prediction"]) ** 2 for r in got]) < 0.6 * np.var(y)
     assert importances.count() == 15
+
+
+def test_one_slice_grows_many_trees_a_job_and_slices_give_the_same_trees(spark, data, monkeypatch):
+    df, _, _ = data
+    context = spark.sparkContext
+    settings = Settings(rounds=6, min_rows=5, max_bins=16)
+    asked = [(NAMES, "y", k) for k in range(3)]
+    context.setJobGroup("one slice", "trees")
+    alone, scores = boosting.fit_together(df, asked, settings, "k")
+    jobs = len(context.statusTracker().getJobIdsForGroup("one slice"))
+    context.setJobGroup("rest", "other work")
+    assert all(len(f.trees) == 6 for f in alone)
+    assert jobs < 6 * 4  # a job per level would be at least as many for the trees alone
+    monkeypatch.setattr(boosting, "TASK_ROWS", 150)
+    monkeypatch.setattr(boosting, "STORE_ROUNDS", 2)
+    parted, again = boosting.fit_together(df, asked, settings, "k")
+    assert [[t.feature for t in f.trees] for f in alone] == [[t.feature for t in f.trees] for f in parted]
+    first, second = ({r["row"]: r["score"] for r in s.collect()} for s in (scores, again))
+    assert first.keys() == second.keys() and all(first[row] == pytest.approx(second[row]) for row in first)
