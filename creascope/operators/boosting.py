@@ -7,7 +7,8 @@ same jobs: a block of arrays per slice and fit stays cached in between, each in
 A level of a tree is one job: every task adds up gradient and row count per node, feature and bin, the sums
 are reduced per node, and the best split of each node is found where its sums are. Only the splits come back
 to the driver, at most one per node. With a single slice there is nothing to reduce: its tasks go through
-the same levels by themselves, ``STORE_ROUNDS`` trees a job. A tree is grown level by level to its depth and
+the same levels by themselves, ``STORE_ROUNDS`` trees a job. They add up the smaller child of every split only;
+the sums of the larger one are those of the parent without it. A tree is grown level by level to its depth and
 then taken best leaf first until it has its leaves, which gives the same tree as growing it in that
 order, as a split's gain does not depend on when it is made.
 
@@ -36,7 +37,10 @@ from creascope.session import stash
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 STORE_ROUNDS = 50
-TASK_ROWS = 100_000  # rows of one slice; the sums of a single slice need no reducing
+# Rows of one slice, about 100 bytes each; the sums of a single slice need no reducing. A job per level costs
+# more than a task adds up in the meantime, so only tables beyond this are parted.
+TASK_ROWS = 1_000_000
+MOST_BINS = 256  # bins are single bytes
 Slice = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]  # row, fold, y per target, bins per feature
 Block = tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]  # fit, row, fold, y, bins, score
 
@@ -88,10 +92,21 @@ class Tree:
     def nodes(self, bins: np.ndarray) -> np.ndarray:
         """Leaf each row ends in."""
         out = np.zeros(len(bins), np.int64)
-        for rows, _, following in self.walk(bins):
-            out[rows] = following
+        parts = [(0, np.arange(len(bins)))]
+        while parts:
+            node, rows = parts.pop()
+            if self.left[node] < 0:
+                out[rows] = node
+            elif len(rows):
+                low, high = self.parted(node, rows, bins.T)
+                parts += [(self.left[node], low), (self.right[node], high)]
         return out
 
+    def parted(self, node: int, rows: np.ndarray, bins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The rows of a split node that go left and right; ``bins`` has a line per feature."""
+        low = bins[self.feature[node]][rows] <= self.bin[node]
+        return rows[low], rows[~low]
+
     def predict(self, bins: np.ndarray) -> np.ndarray:
         return np.array(self.value)[self.nodes(bins)]
 
@@ -236,14 +251,14 @@ def slices_of(raw: DataFrame, cuts: Sequence[Sequence[float]], tasks: int) -> RD
 
 
 def blocks_of(slices: RDD[Slice], fits: Sequence[Fit]) -> RDD[Block]:
-    """Every slice once per fit, each in a partition of its own."""
+    """Every slice once per fit, each in a partition of its own; the fits with most features start first."""
     def block(i: int, target: int, base: float):
         def of(part: Slice) -> Block:
             row, fold, y, bins = part
             return i, row, fold, y[target], bins, np.full(len(row), base)
         return of
 
-    parts = [slices.map(block(i, f.target, f.base)) for i, f in enumerate(fits)]
+    parts = [slices.map(block(i, f.target, f.base)) for i, f in sorted(enumerate(fits), key=lambda p: -len(p[1].features))]
     return slices.context.union(parts).persist(StorageLevel.MEMORY_AND_DISK)
 
 
@@ -279,6 +294,49 @@ def histograms(bins: np.ndarray, gradient: np.ndarray, fit: Fit, offsets: np.nda
     return {n: total[j] for j, n in enumerate(fit.active) if total[j, 1].any()}
 
 
+def group_sums(bins: np.ndarray, gradient: np.ndarray, groups: Sequence[np.ndarray], columns: Sequence[int], offsets: np.ndarray) -> np.ndarray:
+    """Sums per group of rows: gradient and rows per bin, the bins of the ``columns`` one after the other."""
+    at = np.concatenate(groups)
+    base = np.repeat(np.arange(len(groups)) * MOST_BINS, [len(rows) for rows in groups])
+    weights = gradient[at]
+    total = np.empty((len(groups), 2, int(offsets[-1])))
+    for j, column in enumerate(columns):
+        first, last = int(offsets[j]), int(offsets[j + 1])
+        flat = base + bins[column][at]
+        for k, weight in ((0, weights), (1, None)):
+            total[:, k, first:last] = np.bincount(flat, weight, len(groups) * MOST_BINS).reshape(-1, MOST_BINS)[:, :last - first]
+    return total
+
+
+def grow(bins: np.ndarray, gradient: np.ndarray, fit: Fit, offsets: np.ndarray, settings: Settings) -> None:
+    """All levels of a started tree whose rows are all here."""
+    tree, columns = fit.growing, fit.columns
+    offsets = np.concatenate(([0], np.cumsum(np.diff(offsets)[columns])))
+    rows = {0: np.arange(len(gradient))}
+    sums = {0: group_sums(bins, gradient, list(rows.values()), columns, offsets)[0]} if len(gradient) else {}
+    for level in range(settings.max_depth):
+        found = []
+        for node, total in sums.items():
+            feature, *split = best_split(total, range(len(columns)), offsets, settings)
+            found.append((node, columns[feature] if feature >= 0 else -1, *split))
+        extend(fit, found, settings)
+        if level == settings.max_depth - 1 or not fit.active:
+            break
+        sides = []  # (smaller child, larger child, their node)
+        for node in sums:
+            if node in fit.splits:
+                children = tree.left[node], tree.right[node]
+                rows.update(zip(children, tree.parted(node, rows[node], bins)))
+                if any(child in fit.active for child in children):
+                    sides.append((*sorted(children, key=lambda child: len(rows[child])), node))
+        # every row is added up in at most every other level
+        smaller = group_sums(bins, gradient, [rows[small] for small, _, _ in sides], columns, offsets)
+        both = {}
+        for total, (small, large, node) in zip(smaller, sides):
+            both |= {small: total, large: sums[node] - total}
+        sums = {node: both[node] for node in fit.active}
+
+
 def weight_of(g, n, settings: Settings):
     """Value of a leaf before the rate: minus the shrunk gradient sum over the rows and L2 term."""
     return -np.sign(g) * np.maximum(np.abs(g) - settings.l1, 0.0) / (n + settings.l2)
@@ -293,7 +351,7 @@ def best_split(sums: np.ndarray, columns: Sequence[int], offsets: np.ndarray, se
     gradient, rows = np.cumsum(sums, axis=1)
     size = np.diff(offsets)
     # what the features before add up to; every row is in one bin of each sampled feature
-    before = np.concatenate(([[0.0], [0.0]], np.cumsum(sums, axis=1)), axis=1)[:, offsets[:-1]]
+    before = np.concatenate(([[0.0], [0.0]], (gradient, rows)), axis=1)[:, offsets[:-1]]
     first = columns[0]
     g, n = (float(total[offsets[first + 1] - 1] - start) for total, start in zip((gradient, rows), before[:, first]))
     gl, nl = gradient - np.repeat(before[0], size), rows - np.repeat(before[1], size)
@@ -372,12 +430,7 @@ def grown_alone(block: Block, fit: Fit, offsets: np.ndarray, settings: Settings,
         if fit.done:
             break
         start(fit, i, settings, turn)
-        bins, gradient = sampled(block, fit, settings, turn)
-        for _ in range(settings.max_depth):
-            if not fit.active:
-                break
-            sums = histograms(bins, gradient, fit, offsets)
-            extend(fit, [(n, *best_split(total, fit.columns, offsets, settings)) for n, total in sums.items()], settings)
+        grow(*sampled(block, fit, settings, turn), fit, offsets, settings)
         block = advanced(block, {i: finish(fit, settings)})
     return block, fit.trees, fit.done
 
@@ -491,8 +544,8 @@ def fit_together(
     tasks = -(-sum(r["rows"] for r in parts) // TASK_ROWS) or 1
     offsets = np.concatenate(([0], np.cumsum([len(e) + 1 for e in cuts])))
     slices = slices_of(raw, cuts, tasks)
-    grow = boost_alone if tasks == 1 else boost
-    blocks = grow(blocks_of(slices, fits), fits, offsets, settings)
+    grown = boost_alone if tasks == 1 else boost
+    blocks = grown(blocks_of(slices, fits), fits, offsets, settings)
     long = stash(score_rows(blocks, df.sparkSession), "fitted")
     blocks.unpersist()
     slices.unpersist()

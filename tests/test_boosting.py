@@ -156,3 +156,36 @@ def test_one_slice_grows_many_trees_a_job_and_slices_give_the_same_trees(spark,
     assert [[t.feature for t in f.trees] for f in alone] == [[t.feature for t in f.trees] for f in parted]
     first, second = ({r["row"]: r["score"] for r in s.collect()} for s in (scores, again))
     assert first.keys() == second.keys() and all(first[row] == pytest.approx(second[row]) for row in first)
+
+
+def test_a_task_adds_up_the_smaller_child_of_a_split_only(monkeypatch):
+    rng = np.random.default_rng(5)
+    rows, depth = 3000, 6
+    bins = rng.integers(0, 20, (4, rows)).astype(np.uint8)
+    y = bins[0] * 1.0 + bins[1] * (bins[2] > 9) + rng.normal(size=rows)
+    fit = boosting.Fit(0, [0, 1, 2, 3], -1, float(y.mean()))
+    settings = Settings(rounds=1, max_depth=depth, row_share=1.0, column_share=1.0)
+    offsets = np.arange(5) * 20
+    block = (0, np.arange(rows), np.zeros(rows, int), y, bins, np.full(rows, fit.base))
+    added, count = [], np.bincount
+    monkeypatch.setattr(boosting.np, "bincount", lambda x, *a: added.append(len(x)) or count(x, *a))
+    (*_, score), (tree,), _ = boosting.grown_alone(block, fit, offsets, settings, range(1))
+    monkeypatch.undo()
+    assert sum(added) <= 2 * 4 * rows * (1 + (depth - 1) / 2)  # gradients and rows of four features
+    # the same tree from the sums of all nodes
+    boosting.start(fit, 0, settings, 0)
+    for _ in range(depth):
+        sums = boosting.histograms(bins, fit.base - y, fit, offsets)
+        boosting.extend(fit, [(n, *boosting.best_split(t, fit.columns, offsets, settings)) for n, t in sums.items()], settings)
+    other = boosting.finish(fit, settings)
+    assert (tree.feature, tree.bin, tree.left) == (other.feature, other.bin, other.left)
+    assert tree.value == pytest.approx(other.value) and score == pytest.approx(fit.base + other.predict(bins.T))
+
+
+def test_tables_of_some_hundred_thousand_rows_need_no_job_per_level(spark):
+    df = spark.range(120_000).select((F.col("id") % 40).cast("double").alias("a"), (F.col("id") % 40 % 7).cast("double").alias("y"))
+    spark.sparkContext.setJobGroup("many rows", "trees")
+    forest = models.BoostedTrees(rounds=6, max_depth=4)(df, ["a"], "y")
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("many rows"))
+    spark.sparkContext.setJobGroup("rest", "other work")
+    assert len(forest.trees) == 6 and jobs < 6 * 4
