@@ -584,9 +584,10 @@ def run_rows(d):
 @query
 def batch_scores(d):
     """Predicted rates for every linked row with models trained on all rows, and what moved them."""
-    matrix, encoders, _ = _matrix(d)
+    linked = stash(d.linked, "linked_rows")  # training and scoring share one scan of the log
+    matrix, encoders, _ = features.feature_matrix(linked, d.vision, vision_order=("vec_id",))
     fitted = models.fit_targets(matrix)
-    rows = linking.attach_vision(d.linked, d.vision, order=("vec_id",))
+    rows = linking.attach_vision(linked, d.vision, order=("vec_id",))
     return models.score(rows, fitted, encoders, keep=[*kpi.KEYS, "md5_game_key"], contributions=5)
 
 
