@@ -31,11 +31,31 @@ def _decode(data, height: int, width: int, channels: int) -> np.ndarray | None:
     return px.to_rgb(data, int(height), int(width), int(channels))
 
 
+READABLE = "height > 0 and width > 0 and data is not null"
+
+
+def _fields(images: DataFrame) -> DataFrame:
+    return images.select(
+        "image.origin", "image.height", "image.width", F.col("image.nChannels").alias("channels"), "image.data")
+
+
 def readable(images: DataFrame) -> DataFrame:
     """(origin, height, width, channels, data) of the images the image source could decode."""
-    fields = images.select(
-        "image.origin", "image.height", "image.width", F.col("image.nChannels").alias("channels"), "image.data")
-    return fields.filter("height > 0 and width > 0 and data is not null")
+    return _fields(images).filter(READABLE)
+
+
+def _apart(images: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The fields of all images in two parts: those that can be measured within their row, and the others.
+
+    Others are images that share an origin or have none, and images whose bytes are missing or too many:
+    these count in sums over pixel rows.
+    """
+    fields = _fields(images)
+    whole = F.expr(f"not coalesce({READABLE}, false) or length(data) = cast(height as bigint) * width * channels")
+    others = stash(fields.groupBy("origin").agg(F.count("*").alias("n"), F.bool_and(F.coalesce(whole, F.lit(False))).alias(
+        "whole")).filter("n > 1 or not whole or origin is null").select(F.col("origin").alias("_other")), "others")
+    same = F.col("origin").eqNullSafe(F.col("_other"))
+    return fields.join(others, same, "left_anti"), fields.join(others, same, "left_semi")
 
 
 def pixel_rows(images: DataFrame) -> DataFrame:
@@ -91,16 +111,14 @@ def thumbnails(images: DataFrame, size: int = px.THUMBNAIL) -> DataFrame:
     after the other, so no pixel is shuffled. The weights depend on the edge lengths that occur and are
     stored, so the joins know how small they are. Images that share an origin are added up pixel by pixel.
     """
-    sources = readable(images)
+    return _thumbnails(readable(images), *_apart(images), size)
+
+
+def _thumbnails(sources: DataFrame, single: DataFrame, others: DataFrame, size: int) -> DataFrame:
     edges = sources.select(F.explode(F.array("height", "width")).alias("size")).distinct()
     kernel = stash(resize_kernel(edges, size), "resize_kernel")
-    # bytes that are missing or too many count only in sums of rows
-    whole = F.expr("length(data) = cast(height as bigint) * width * channels")
-    repeated = stash(sources.groupBy("origin").agg(F.count("*").alias("n"), F.bool_and(whole).alias("whole")).filter(
-        "n > 1 or not coalesce(whole, false)").select(F.col("origin").alias("_repeated")), "repeated")
-    same = F.col("origin").eqNullSafe(F.col("_repeated"))
-    single = _shrunk(sources.join(repeated, same, "left_anti"), kernel_arrays(kernel), size)
-    return single.unionByName(_summed(sources.join(repeated, same, "left_semi"), kernel))
+    shrunk = _shrunk(single.filter(READABLE), kernel_arrays(kernel), size)
+    return shrunk.unionByName(_summed(others.filter(READABLE), kernel))
 
 
 def _let(name: str, value: str, body: str) -> str:
@@ -160,42 +178,101 @@ def _summed(sources: DataFrame, kernel: DataFrame) -> DataFrame:
     return shrink(across, "height", "y", ["origin", "x"]).select("origin", "y", "x", "r", "g", "b")
 
 
-def colour_bucket() -> Column:
-    """One of 64 buckets, four levels a channel, of (r, g, b)."""
-    def level(channel: str):
-        return F.least(F.floor(F.col(channel) * px.COLOR_LEVELS / 255), F.lit(px.COLOR_LEVELS - 1))
+def colour_bit(r: Column, g: Column, b: Column) -> Column:
+    """One bit of a long per colour bucket: there are 64, four levels a channel."""
+    def level(channel: Column):
+        return F.least(F.floor(channel * px.COLOR_LEVELS / 255), F.lit(px.COLOR_LEVELS - 1))
 
-    return (level("r") * 16 + level("g") * 4 + level("b")).cast("int")
+    return F.call_function("shiftleft", F.lit(1).cast("long"), (level(r) * 16 + level(g) * 4 + level(b)).cast("int"))
 
 
 def thumbnail_diversity(images: DataFrame) -> DataFrame:
     """(origin, color_diversity_score): share of the colour buckets that the thumbnail of an image fills."""
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), colour_bucket())
-    return thumbnails(images).groupBy("origin").agg(
-        (F.bit_count(F.bit_or(bit)) / px.COLOR_LEVELS**3).alias("color_diversity_score"))
+    return _diversity(thumbnails(images))
+
+
+def _diversity(thumbs: DataFrame) -> DataFrame:
+    bits = F.bit_or(colour_bit(*(F.col(c) for c in "rgb")))
+    return thumbs.groupBy("origin").agg((F.bit_count(bits) / px.COLOR_LEVELS**3).alias("color_diversity_score"))
 
 
 def colour_measures(images: DataFrame) -> DataFrame:
-    """Size and colour measures per image, without colour diversity; unreadable files get defaults."""
-    measured = pixel_features(pixel_rows(images), "origin").drop("n_pixels", "color_diversity_score")
-    good = F.coalesce((F.col("image.height") > 0) & (F.col("image.width") > 0) & F.col("image.data").isNotNull(), F.lit(False))
-    height, width = (F.col(f"image.{edge}").cast("double") for edge in ("height", "width"))
-    sizes = images.select(
-        F.col("image.origin").alias("origin"), F.when(good, width / height).alias("aspect_ratio"),
-        F.when(good, width).alias("image_width"), F.when(good, height).alias("image_height"))
-    return sizes.join(measured, "origin", "left").na.fill(
+    """Size and colour measures per image, without colour diversity; unreadable files get defaults.
+
+    An image is measured within its row, so neither pixels nor sums of them are shuffled. Images that share
+    an origin are added up pixel by pixel.
+    """
+    return _colours(*_apart(images))
+
+
+def _colours(single: DataFrame, others: DataFrame) -> DataFrame:
+    good = F.coalesce(F.expr(READABLE), F.lit(False))
+    height, width = (F.col(edge).cast("double") for edge in ("height", "width"))
+    sizes = [F.when(good, width / height).alias("aspect_ratio"), F.when(good, width).alias("image_width"),
+             F.when(good, height).alias("image_height")]
+    names = ["origin", "aspect_ratio", "image_width", "image_height"]
+    added = pixel_features(_pixels(others.filter(READABLE)), "origin").drop("n_pixels", "color_diversity_score")
+    alone = _measured(_row_sums(single.select("*", *sizes), good), names)
+    return alone.unionByName(others.select("origin", *sizes).join(added, "origin", "left"), allowMissingColumns=True).drop(
+        "n_pixels", "color_diversity_score").na.fill(
         {name: value for name, value in px.UNREADABLE.items() if name != "color_diversity_score"})
 
 
 def handcrafted_features(images: DataFrame) -> DataFrame:
     """All measures per image of Spark's ``image`` source, whose origins tell them apart.
 
-    Everything is SQL over pixel rows; unreadable files get default values.
+    Everything is SQL over pixels; unreadable files get default values.
     """
-    return colour_measures(images).join(thumbnail_diversity(images), "origin", "left").na.fill(
+    single, others = _apart(images)
+    diversity = _diversity(_thumbnails(readable(images), single, others, px.THUMBNAIL))
+    return _colours(single, others).join(diversity, "origin", "left").na.fill(
         {"color_diversity_score": px.UNREADABLE["color_diversity_score"]}).select("origin", *MEASURES)
 
 
+def _pixel_terms(r: Column, g: Column, b: Column) -> dict[str, Column]:
+    """What the colour measures add up of a pixel."""
+    red, green, blue = (c / 255.0 for c in (r, g, b))
+    top, bottom = F.greatest(red, green, blue), F.least(red, green, blue)
+    weights = px.BRIGHTNESS_WEIGHTS
+    gray = sum((F.lit(w) * c for w, c in zip(px.GRAY_WEIGHTS, (r, g, b))), F.lit(px.GRAY_ROUNDING))
+    return {
+        "gray": F.shiftright(gray.cast("long"), 16),
+        "light": weights[0] * red + weights[1] * green + weights[2] * blue,
+        "saturation": F.when(top > 0, (top - bottom) / top).otherwise(0.0),
+        "rg": red - green,
+        "yb": 0.5 * (red + green) - blue,
+        "bucket": colour_bit(r, g, b),
+    }
+
+
+def _row_sums(sources: DataFrame, good: Column) -> DataFrame:
+    """``sources`` with the means, buckets and histogram of the pixels of each row, NULL where it is not ``good``."""
+    read = "cast(conv(hex(substring(data, i * channels + 1, channels)), 16, 10) as bigint)"
+    colour = "transform(p, v -> case channels when 1 then v * 65793 when 4 then shiftright(v, 8) else v end)"
+    # blue is the first byte; the sequence of a row that is not good is not looked at
+    whole = f"transform(sequence(0, height * width - 1), i -> {read})"
+    pixels = sources.withColumn("p", F.when(good, F.expr(_let("p", whole, colour)))).drop("data")
+
+    def terms(v: Column) -> dict[str, Column]:
+        return _pixel_terms(*(F.shiftright(v, shift).bitwiseAND(F.lit(255)) for shift in (0, 8, 16)))
+
+    def mean(term: Callable[[dict[str, Column]], Column]) -> Column:
+        return F.aggregate("p", F.lit(0.0), lambda total, v: total + term(terms(v))) / F.size("p")
+
+    means = {c: mean(lambda t, c=c: t[c]) for c in ("light", "saturation", "rg", "yb")}
+    means |= {f"{c}2": mean(lambda t, c=c: t[c] * t[c]) for c in ("rg", "yb")}
+    bits = F.aggregate("p", F.lit(0).cast("long"), lambda seen, v: seen.bitwiseOR(terms(v)["bucket"]))
+    # counts are the lengths of runs of equal gray levels
+    grays = pixels.select(
+        *[c for c in pixels.columns if c != "p"], F.when(F.col("p").isNotNull(), F.size("p")).alias("n_pixels"),
+        *[value.alias(c) for c, value in means.items()], F.bit_count(bits).alias("n_buckets"),
+        F.array_sort(F.transform("p", lambda v: terms(v)["gray"])).alias("grays"))
+    ends = grays.withColumn("ends", F.expr(
+        "filter(sequence(1, size(grays)), i -> i = size(grays) or grays[i] <> grays[i - 1])")).drop("grays")
+    return ends.withColumn("histogram", F.expr(
+        "transform(ends, (e, i) -> cast(if(i = 0, e, e - ends[i - 1]) as bigint))")).drop("ends")
+
+
 def pixel_features(pixels: DataFrame, key: str = "filename") -> DataFrame:
     """The same colour measures from a long table of (key, r, g, b), entirely in SQL.
 
@@ -203,20 +280,8 @@ def pixel_features(pixels: DataFrame, key: str = "filename") -> DataFrame:
     shuffle, so an image of any size costs one small group. Colour diversity counts the
     buckets of all given pixels: there are 64, so one bit each of a long.
     """
-    red, green, blue = (F.col(c) / 255.0 for c in "rgb")
-    top, bottom = F.greatest(red, green, blue), F.least(red, green, blue)
-    weights = px.BRIGHTNESS_WEIGHTS
-    gray = sum((F.lit(w) * F.col(c) for w, c in zip(px.GRAY_WEIGHTS, "rgb")), F.lit(px.GRAY_ROUNDING))
-
-    per_pixel = pixels.select(
-        key,
-        F.shiftright(gray.cast("long"), 16).alias("gray"),
-        (weights[0] * red + weights[1] * green + weights[2] * blue).alias("light"),
-        F.when(top > 0, (top - bottom) / top).otherwise(0.0).alias("saturation"),
-        (red - green).alias("rg"),
-        (0.5 * (red + green) - blue).alias("yb"),
-        F.call_function("shiftleft", F.lit(1).cast("long"), colour_bucket()).alias("bucket"),
-    )
+    terms = _pixel_terms(*(F.col(c) for c in "rgb"))
+    per_pixel = pixels.select(key, *[term.alias(name) for name, term in terms.items()])
     by_gray = per_pixel.groupBy(key, "gray").agg(
         F.count("*").alias("n"),
         *[F.sum(c).alias(c) for c in ("light", "saturation", "rg", "yb")],
@@ -231,6 +296,11 @@ def pixel_features(pixels: DataFrame, key: str = "filename") -> DataFrame:
         F.bit_count(F.bit_or("buckets")).alias("n_buckets"),
         F.collect_list("n").alias("histogram"),  # at most 256 counts
     )
+    return _measured(sums, [key])
+
+
+def _measured(sums: DataFrame, keep: list[str]) -> DataFrame:
+    """``keep`` and the colour measures from the means, buckets and histogram of each image."""
     total = F.col("n_pixels") + px.ENTROPY_EPSILON
 
     def surprise(acc, count):
@@ -241,7 +311,7 @@ def pixel_features(pixels: DataFrame, key: str = "filename") -> DataFrame:
     offset = F.sqrt(F.col("rg") * F.col("rg") + F.col("yb") * F.col("yb"))
     light = F.col("light")
     return sums.select(
-        key, "n_pixels",
+        *keep, "n_pixels",
         light.alias("brightness_mean"),
         F.col("saturation").alias("saturation_mean"),
         (F.sqrt(F.greatest(variance, F.lit(0.0))) + px.MEAN_WEIGHT * offset).alias("colorfulness"),

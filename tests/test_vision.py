@@ -304,3 +304,34 @@ def test_thumbnails_of_repeated_and_cut_images(spark):
     everywhere = lambda colour: dict.fromkeys([(0, 0), (0, 1), (1, 0), (1, 1)], colour)
     assert found["twice"] == everywhere((20, 40, 255)) and found[None] == everywhere((1, 2, 3))
     assert found["one"] == everywhere((5, 6, 7)) and found["cut"][0, 0] == (10, 20, 30)
+
+
+def test_measures_shuffle_no_pixels(spark):
+    draw = np.random.default_rng(9)
+    named = [(f"i{i}", draw.integers(0, 256, (3 + i, 40 - i, 3), dtype=np.uint8)) for i in range(4)]
+    images = stored_images(spark, named)
+    measures = vision.colour_measures(images)
+    found = {r.origin: r for r in measures.collect()}
+    final = measures._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "keys=[origin" not in final  # an image is measured within its row
+    pixels = [(name, *map(int, p)) for name, rgb in named for p in rgb.reshape(-1, 3)]
+    sums = vision.pixel_features(spark.createDataFrame(pixels, "filename string, r int, g int, b int")).collect()
+    assert len(sums) == len(found) == 4
+    for r in sums:
+        assert [found[r.filename][m] for m in measures.columns[4:]] == pytest.approx([r[m] for m in measures.columns[4:]])
+
+
+def test_measures_of_repeated_cut_and_nameless_images(spark):
+    flat = [("twice", solid(2, 2, (10, 20, 200)))] * 2 + [(None, solid(2, 2, (1, 2, 3))), ("one", solid(2, 2, (255, 0, 0)))]
+    images = stored_images(spark, flat).unionByName(spark.createDataFrame(
+        [(("cut", 2, 2, 3, 16, bytearray([0, 0, 255])),), (("one_more", -1, -1, -1, -1, bytearray()),), (None,)], IMAGE))
+    rows = {}
+    for r in vision.handcrafted_features(images).collect():
+        rows.setdefault(r.origin, []).append(r)
+    assert {k: len(v) for k, v in rows.items()} == {"twice": 2, None: 2, "one": 1, "cut": 1, "one_more": 1}
+    # rows that share an origin have the measures of their sum, those without one the defaults
+    assert rows["twice"][0] == rows["twice"][1] and rows["twice"][0].brightness_mean == pytest.approx(
+        (0.2126 * 10 + 0.7152 * 20 + 0.0722 * 200) / 255)
+    assert {r.brightness_mean for r in rows[None]} == {0.5} and {r.image_width for r in rows[None]} == {0.0, 2.0}
+    assert rows["one"][0].brightness_mean == pytest.approx(0.2126) and rows["one"][0].visual_entropy == pytest.approx(0, abs=1e-8)
+    assert {m: rows["one_more"][0][m] for m in vision.MEASURES} == px.UNREADABLE
