@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import pytest
 
 import corpus_pipeline
@@ -255,6 +256,93 @@ def test_fuzzy_lines_link_small_edits(spark):
     assert {r["doc_id"]: r["kept"] for r in found} == {**wanted, 90: True, 91: True}
 
 
+def test_fuzzy_lines_move_only_keys_that_meet(spark, monkeypatch):
+    """Of lines without company no band key becomes a row, of a family in one bucket its members do."""
+    seen = {}
+
+    def record(members, verify, close, pairs=None):
+        seen.update(members=members.count(), pairs=0 if pairs is None else pairs.distinct().count())
+        return components(members, verify, close, pairs=pairs)
+
+    components = line_dedup.components_of_buckets
+    monkeypatch.setattr(line_dedup, "components_of_buckets", record)
+    lone = [(i, words(40, 1000 + i)) for i in range(200)]
+    found = line_dedup.fuzzy_lines(spark.createDataFrame(lone, "doc_id long, text string")).collect()
+    assert all(r["kept"] for r in found) and seen["members"] < 40 and seen["pairs"] < 40
+    base = words(40, 999).split()
+    family = [(1000 + i, " ".join([*base[:i], f"w{i:04}", *base[i + 1:]])) for i in range(30)]
+    found = line_dedup.fuzzy_lines(spark.createDataFrame(lone + family, "doc_id long, text string")).collect()
+    assert seen["members"] >= 30
+    assert sorted(r["doc_id"] for r in found if not r["kept"]) == list(range(1001, 1030))
+
+
+def test_meetings_against_all_pairs():
+    """Buckets end where the key or the length does; small ones come as pairs, large ones as members."""
+    rng = np.random.default_rng(5)
+    blocks = []
+    for block in (0, line_dedup.BLOCK_ROWS):
+        keys = rng.integers(0, 12, (60, 4)).astype(np.uint64) << np.uint64(40) | rng.integers(0, 40, (60, 4)).astype(np.uint64)
+        blocks.append((block, keys, rng.integers(1, 40, 60).astype(np.uint32)))
+    owners = 3
+    parts = pa.Table.from_batches([line_dedup.sent(*block, owners) for block in blocks])
+    pairs, members = set(), {}
+    for owner in range(owners):
+        mine = parts.filter(pa.compute.equal(parts["owner"], owner))
+        for r in (line_dedup.meetings(mine).to_pylist() if len(mine) else []):
+            if r["key"] is None:
+                pairs.add((r["a"], r["b"]))
+            else:
+                members.setdefault(r["key"], []).append(r["a"])
+    met = pairs | {(a, b) for x in members.values() for a in x for b in x if a < b}
+    rows = [(int(k), int(c[i]), block + i) for block, keys, c in blocks for i in range(60) for k in keys[i]]
+
+    def owner_and_print(k):
+        return (k >> 32) * owners >> 32, k & 0x7FFFFF
+
+    wanted = {(min(a, b), max(a, b)) for k, c, a in rows for q, d, b in rows
+              if a != b and owner_and_print(k) == owner_and_print(q) and abs(c - d) <= line_dedup.CLASSES + 1}
+    assert wanted and wanted <= met
+    assert all(len(x) > line_dedup.FEW for x in members.values())
+
+
+def test_linked_pairs_against_edit_distance():
+    def distance(x, y):
+        above = list(range(len(y) + 1))
+        for i, c in enumerate(x, 1):
+            row = [i]
+            for j, d in enumerate(y, 1):
+                row.append(min(above[j - 1] + (c != d), above[j] + 1, row[-1] + 1))
+            above = row
+        return above[-1]
+
+    rng = random.Random(4)
+    lefts, rights = ["", "a", "abc" * 30], ["", "", "bca" * 30]
+    for _ in range(300):
+        x = [rng.choice("abcde\u00e9 \u65e5\U0001f600") for _ in range(rng.choice([1, 3, 10, 30, 60, 100]))]
+        y = list(x)
+        for _ in range(rng.randint(0, max(1, len(x) // 6))):
+            i, kind = rng.randrange(len(y) + 1), rng.random()
+            y[i:i + (kind < 0.7)] = [] if kind < 0.3 else [rng.choice("abcde")]
+        lefts.append("".join(x))
+        rights.append("".join(y))
+    ids = pa.array(range(len(lefts)))
+    rows = pa.RecordBatch.from_arrays([ids, ids, pa.array(lefts), pa.array(rights)], names=["a", "b", "x", "y"])
+    for percent in (90, 70):
+        found = next(line_dedup.linked_pairs(iter([rows]), percent)).column(0).to_pylist()
+        assert found == [i for i, (x, y) in enumerate(zip(lefts, rights))
+                         if distance(x, y) <= max(len(x), len(y)) * (100 - percent) // 100]
+    # the profile of a line never asks for more edits than the distance
+    lines = [x.encode() or b"x" for x in lefts + rights]
+    sizes = np.array([len(x.decode()) for x in lines])
+    words_of = line_dedup.profiles(lines, sizes)
+    nibbles = (words_of[:, :, None] >> (np.arange(16, dtype=np.uint64) * np.uint64(4)) & np.uint64(15)).astype(int).reshape(-1, 32)
+    for i in range(0, len(lefts), 3):
+        j = i + len(lefts)
+        change = (nibbles[i] - nibbles[j]) % 16
+        moved = np.minimum(change, 16 - change).sum() + abs(sizes[i] - sizes[j])
+        assert moved <= 2 * distance(lines[i].decode(), lines[j].decode())
+
+
 def test_toxicity_learns_subwords(spark, odd, nothing):
     rng = random.Random(8)
     texts, labels = [], []
