@@ -305,6 +305,73 @@ def test_meetings_against_all_pairs():
     assert all(len(x) > line_dedup.FEW for x in members.values())
 
 
+def test_fuzzy_lines_common_grams_at_other_places(spark, monkeypatch):
+    """Lines of the same phrases in other orders share bands, but neither pairs nor members come of it."""
+    seen = {}
+
+    def record(members, verify, close, pairs=None):
+        seen.update(members=members.count(), pairs=0 if pairs is None else pairs.distinct().count())
+        return components(members, verify, close, pairs=pairs)
+
+    components = line_dedup.components_of_buckets
+    monkeypatch.setattr(line_dedup, "components_of_buckets", record)
+    rng = random.Random(11)
+    phrases = [words(6, 500 + i) for i in range(24)]
+    lines = [" ".join(rng.sample(phrases, 12)) for _ in range(200)]
+    # one phrase less moves all others, two changed words none
+    lines += [" ".join(x.split()[6:]) for x in lines[:20]]
+    lines += [" ".join([*x.split()[:30], "zzzzz", "yyyyy", *x.split()[32:]]) for x in lines[20:40]]
+    found = line_dedup.fuzzy_lines(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")).collect()
+    assert sorted(r["doc_id"] for r in found if not r["kept"]) == list(range(200, 240))
+    assert 40 <= seen["pairs"] + seen["members"] < 1000
+
+
+def test_places_of_grams_hold_linked_lines():
+    """The bands that two linked lines share fit, wherever the edits are and whatever they move; unless by chance a
+    gram is gone from one place and new at another one, which never leaves a pair without a band."""
+    rng, shared, fit = random.Random(12), 0, 0
+    for _ in range(600):
+        n, alphabet = rng.choice([12, 30, 60, 90, 300, 900]), rng.choice(["ab ", "abcdefgh ", "abcdef\u00e9\u65e5\U0001f600 "])
+        x = [rng.choice(alphabet) for _ in range(n)]
+        y, left = list(x), n // 11
+        while left > 0:
+            i, size = rng.choice([0, len(y), rng.randrange(len(y))]), rng.randint(1, left)
+            y[i:i + rng.choice([0, size])] = [rng.choice(alphabet) for _ in range(rng.choice([0, size]))]
+            left -= size
+        # no white space at the ends or doubled, as in normalised lines
+        pair = [" ".join("".join(z).split()) for z in (x, y)]
+        pair = sorted((z for z in pair), key=len)
+        sizes = np.array([len(z) for z in pair])
+        if not line_dedup.distance(*(np.array([ord(c) for c in z]) for z in pair), 1000) * 10 <= sizes[1]:
+            continue
+        classes = line_dedup.length_class(sizes, 90).astype(np.uint64) << np.uint64(line_dedup.PLACE_BITS)
+        keys, _, cells = line_dedup.signatures(
+            [z.encode() for z in pair], sizes, line_dedup.GRAM if n > line_dedup.SHORT else line_dedup.SHORT_GRAM)
+        same = np.flatnonzero(keys[0] == keys[1])
+        found = line_dedup.fitting(classes[0] | cells[0, same], classes[1] | cells[1, same], 90)
+        assert found.any() or not len(same)
+        shared, fit = shared + len(same), fit + int(found.sum())
+    assert shared > 4000 and fit >= 0.995 * shared, (shared, fit)
+    _, _, cells = line_dedup.signatures([b"\xff" + b"not UTF-8, so no place is known"], np.array([31]), 4)
+    assert (cells == (1 << line_dedup.PLACE_BITS) - 1).all()
+
+
+def test_meetings_of_a_family_are_members():
+    """A large family in a bucket is given up to rows per member; the lines around it that fit nobody are left out."""
+    rng = np.random.default_rng(6)
+    for family in (40, 1000):
+        n = family + 300
+        keys, classes = np.full((n, 1), 7, np.uint64), np.full(n, 200, np.uint32)
+        cells = rng.integers(0, line_dedup.ANYWHERE, (n, line_dedup.ROWS)).astype(np.uint32)
+        cells[:family] = [10, 60, 110]
+        cells = sum(cells[:, i] << np.uint32(line_dedup.CELL_BITS * i) for i in range(line_dedup.ROWS))
+        order = rng.permutation(n)
+        met = line_dedup.meetings(pa.Table.from_batches([line_dedup.sent(0, keys, classes, 1, cells[order][:, None])]))
+        held = {r["a"] for r in met.to_pylist() if r["key"] is not None}
+        assert held >= set(np.flatnonzero(order < family).tolist()) and len(met) <= n + 300
+        assert family > 40 or len(held) < family + 20
+
+
 def test_linked_pairs_against_edit_distance():
     def distance(x, y):
         above = list(range(len(y) + 1))
